@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import components, quantiles, tokens
+from . import components, leakage, quantiles, tokens
 from .sql import ORACLES  # noqa: F401
 
 
@@ -57,4 +57,13 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return tokens.round_trip(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_sizes, p6_daily, p6_overall, p6_summaries, p6_months, p7_ids, p7_round_trip)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "eval_item"))
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    """Test items by the number of documents that give them away."""
+    return p8_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_documents"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_sizes, p6_daily, p6_overall, p6_summaries, p6_months, p7_ids, p7_round_trip, p8_found, p8_items)}
