@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import table
-from . import components, leakage, quantiles, tokens
+from . import components, leakage, quality, quantiles, tokens
 from .sql import ORACLES  # noqa: F401
 
 
@@ -66,4 +66,13 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return p8_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_sizes, p6_daily, p6_overall, p6_summaries, p6_months, p7_ids, p7_round_trip, p8_found, p8_items)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return quality.unnatural(table(spark, d, "documents"))
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """The figures and the kind of every document."""
+    return quality.judged(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_sizes, p6_daily, p6_overall, p6_summaries, p6_months, p7_ids, p7_round_trip, p8_found, p8_items, p9_found, p9_statistics)}
