@@ -43,7 +43,7 @@ def fragments(cuts: DataFrame, lengths: DataFrame, k: int, n: int, max_id: int)
     start = F.coalesce(F.col("at") + 1, F.lit(0))
     cut = bounds.select(
         F.col("map_id").alias("old_id"), start.alias("old_start"), F.coalesce(F.lead("at").over(w), F.col("len") - 1).alias("old_end"),
-        (F.lit(max_id * k) + F.lit(max_id * n) * (F.row_number().over(w) - 1) + F.col("map_id")).alias("new_id"),
+        (F.lit(max_id * k).cast("long") + F.lit(max_id * n).cast("long") * (F.row_number().over(w) - 1) + F.col("map_id")).alias("new_id"),
     )
     whole = lengths.join(inside.select("map_id").distinct(), "map_id", "left_anti")
     uncut = whole.select(F.col("map_id").alias("old_id"), F.lit(0).cast("long").alias("old_start"), (F.col("len") - 1).alias("old_end"), F.col("map_id").alias("new_id"))
