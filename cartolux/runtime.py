@@ -69,12 +69,22 @@ class Stage:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_enough(df: DataFrame) -> bool:
+    """Whether Catalyst's upper estimate of ``df`` is within the session's broadcast limit."""
+    spark = df.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_by: list[Column], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Equi-join of ``big`` with ``small`` (unique in ``on``) in which each key's rows of ``big`` are
     spread over ``salts`` partitions: a key that holds a third of all rows never reaches one task.
-    ``small`` is replicated ``salts`` times, so prune it first. ``how``: inner or left."""
+    ``small`` is replicated ``salts`` times, so prune it first; if it is known to be within the
+    broadcast limit it is broadcast instead, as it is. ``how``: inner or left."""
+    if small_enough(small):
+        return big.join(F.broadcast(small), on, how)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
