@@ -36,11 +36,11 @@ def _walk(pdf: pd.DataFrame, unit: int) -> pd.DataFrame:
 
 
 def scaffold_gaps(hits: DataFrame, unit: int = 1) -> DataFrame:
-    """GAPS of every hit against the current one of its scaffold (a scaffold's hits are bounded by its
-    length: one best hit per query, laid side by side). Hits are the best ones of their queries.
+    """GAPS of every hit against the current one of its scaffold.
 
-    The current hit depends on all before it, which no window expresses, so scaffolds are walked one by
-    one in Arrow groups; hits embedded in the running maximum are cut off before, in blocks."""
+    Which hit is current depends on all before it, which no window expresses, so scaffolds are walked in
+    Arrow groups. Hits are the best ones of their queries, laid side by side on a scaffold: their number
+    is bounded by the scaffold's length, not by the data."""
     wide = extended(hits).select("entry_id", "ref_id", "qry_id", "rs", "re", "ql", "ext_start", "ext_end")
     return wide.groupBy("ref_id").applyInPandas(lambda pdf: _walk(pdf, unit), GAPS)
 

@@ -75,7 +75,7 @@ def x23_merged_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 _BP = """
-b AS (SELECT entry_id, aln_set, qry_id, ref_id, ori, conf, channel, floor((least(qs, qe) + 5) / 10)::BIGINT AS qs, floor((greatest(qs, qe) + 5) / 10)::BIGINT AS qe, floor((rs + 5) / 10)::BIGINT AS rs, floor((re + 5) / 10)::BIGINT AS re, floor((ql + 5) / 10)::BIGINT AS ql, floor((rl + 5) / 10)::BIGINT AS rl FROM hits),
+b AS (SELECT entry_id, aln_set, qry_id, ref_id, ori, conf, channel, floor((qs + 5) / 10)::BIGINT AS qs, floor((qe + 5) / 10)::BIGINT AS qe, floor((rs + 5) / 10)::BIGINT AS rs, floor((re + 5) / 10)::BIGINT AS re, floor((ql + 5) / 10)::BIGINT AS ql, floor((rl + 5) / 10)::BIGINT AS rl FROM hits),
 best AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY qry_id ORDER BY conf DESC, entry_id, aln_set) = 1)"""
 
 
@@ -83,7 +83,7 @@ def _best(spark: SparkSession, d: str) -> DataFrame:
     """The best hit of each query, in whole bp."""
     bp = lambda c: F.floor((c + 5) / 10).alias
     h = I.hits(spark, d).select(
-        "entry_id", "aln_set", "qry_id", "ref_id", "ori", "conf", "channel", bp(F.least("qs", "qe"))("qs"), bp(F.greatest("qs", "qe"))("qe"),
+        "entry_id", "aln_set", "qry_id", "ref_id", "ori", "conf", "channel", bp(F.col("qs"))("qs"), bp(F.col("qe"))("qe"),
         bp(F.col("rs"))("rs"), bp(F.col("re"))("re"), bp(F.col("ql"))("ql"), bp(F.col("rl"))("rl"),
     )
     return H.best_per_query(h, ["qry_id"])

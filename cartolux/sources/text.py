@@ -80,7 +80,12 @@ def packed(cmap: DataFrame, least: int = 0) -> DataFrame:
 def read_bnx(spark: SparkSession, path: str | list[str], least: int = 30) -> DataFrame:
     """Molecules with at least ``least`` labels: molecule_id, length, n_labels, labels, snr, intensity. A record
     starts at its ``0`` line; files are split at those, so records stay whole."""
-    records = spark.read.option("lineSep", "\n0\t").text(path).select(F.regexp_replace(F.concat(F.lit("\n"), "value"), r"\r", "").alias("r"))
+    return molecule_rows(spark.read.option("lineSep", "\n0\t").text(path), least)
+
+
+def molecule_rows(records: DataFrame, least: int) -> DataFrame:
+    """The molecules of records (value) as split at their ``0`` lines."""
+    records = records.select(F.regexp_replace(F.concat(F.lit("\n"), "value"), r"\r", "").alias("r"))
 
     def row(tag: str) -> Column:
         return F.split(F.regexp_extract("r", rf"\n{tag}\t([^\n]*)", 1), "\t")
