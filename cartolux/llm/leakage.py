@@ -144,6 +144,8 @@ def _survivors(packed, masks: list[str]):
                 for d, a, x in zip(doc[inside].tolist(), at[inside].tolist(), h[at[inside]].astype(np.int64).tolist()):
                     found[d].append((x, a - int(bounds[d])))
             keep = [i for i, f in enumerate(found) if f]
+            if not keep:
+                continue
             yield pd.DataFrame({
                 "doc_id": pdf["doc_id"].iloc[keep],
                 "words": [" ".join(split[i]) for i in keep],
