@@ -13,7 +13,8 @@ costs no task more than 65,536 counters. The nearest-rank definition holds: the
 ceil(q*n), at least 1.
 
 Cases. Null, NaN and infinite values are left out by the callers below; -0.0 and 0.0 are one value.
-Ties are counted. A group without values gives no row. Null group keys are a group.
+Ties are counted. A group without values gives no row. Null group keys are a group. Keys may have any
+names but those of the result columns (n, q, value, low, high, cut) and u, digit, prefix, left, total.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def from_key(u: Column) -> Column:
 def _same(keys: list[str]) -> Column:
     test = F.lit(True)
     for k in keys:
-        test = test & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        test = test & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
     return test
 
 
@@ -72,17 +73,17 @@ def select(values: DataFrame, keys: list[str], quantiles: tuple[float, ...] = QU
         at = stage.write(at, "targets")
         if shift == 0:
             break
-        followed = at.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("prefix").alias("_prefix")).distinct()
+        followed = at.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col("prefix").alias("__r_prefix")).distinct()
         under = left.withColumn("prefix", F.shiftright("u", shift))
         # The key of the join is hashed with its nulls, then compared null-safe.
         both = salted_join(
-            under.withColumn("_g", F.xxhash64(*keys, "prefix")), followed.withColumn("_g", F.xxhash64(*[f"_{k}" for k in keys], "_prefix")), ["_g"], [F.col("u")]
+            under.withColumn("__hash", F.xxhash64(*keys, "prefix")), followed.withColumn("__hash", F.xxhash64(*[f"__r_{k}" for k in keys], "__r_prefix")), ["__hash"], [F.col("u")]
         ).filter(_same([*keys, "prefix"]))
         left = stage.write(both.select(*keys, "u"), "keys")
         shift -= DIGIT
         hist = left.groupBy(*keys, F.shiftright("u", shift + DIGIT).alias("prefix"), F.shiftright("u", shift).alias("digit")).agg(F.count("*").alias("n"))
         wanted = at.groupBy(*keys, "total", "prefix").agg(F.collect_list(F.struct("q", F.col("left").alias("rank"))).alias("wanted"))
-        wanted = wanted.select("total", "wanted", *[F.col(k).alias(f"_{k}") for k in [*keys, "prefix"]])
+        wanted = wanted.select("total", "wanted", *[F.col(k).alias(f"__r_{k}") for k in [*keys, "prefix"]])
         at = _found(hist.join(wanted, _same([*keys, "prefix"])), [*keys, "prefix"], F.col("wanted")).select(
             *keys, "total", F.col("t.q").alias("q"), F.col("digit").alias("prefix"), "left"
         )
