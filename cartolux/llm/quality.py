@@ -64,10 +64,6 @@ def _bare(word: str) -> str:
     return word.strip(".,;:!?…\"'()[]{}<>*_`~“”‘’«»„¿¡-–—").lower()
 
 
-def _common(words: list[str]) -> int:
-    return sum(_bare(w) in COMMON for w in words)
-
-
 def _cells(line: str) -> int:
     """Number of short cells that one separator cuts the line into, 0 if it is no row."""
     best = 0
@@ -94,26 +90,33 @@ def figures(text: str | None) -> dict:
     f["n_chars"], f["n_lines"] = len(text), len(lines)
     if not words:
         return f
-    solid = "".join(words)
-    wide = sum(map(_wide, solid)) if not solid.isascii() else 0
-    letters = sum(map(str.isalpha, solid))
-    digits = sum(map(str.isdigit, solid))
+    solid = sum(map(len, words))
+    chars = Counter(text)
+    count = lambda test: sum(n for c, n in chars.items() if not c.isspace() and test(c))
+    plain = text.isascii()
+    wide = 0 if plain else count(_wide)
     f["n_words"] = len(words)
-    f["mean_word"] = len(solid) / (len(words) + wide)
+    f["mean_word"] = solid / (len(words) + wide)
     f["longest_word"] = max(map(len, words))
-    f["letter_share"], f["digit_share"], f["wide_share"] = letters / len(solid), digits / len(solid), wide / len(solid)
-    f["symbol_share"] = sum(not c.isalnum() and c not in ".,;:!?'\"-()。，、" for c in solid) / len(solid)
-    f["odd_share"] = sum(c == "�" or "" <= c <= "" or "\x80" <= c <= "\x9f" or "─" <= c <= "▟" for c in solid) / len(solid)
-    f["latin1_share"] = sum("\x80" <= c <= "ÿ" or c in "€™œž‚„…†‡ˆ‰‹›" for c in solid) / len(solid)
+    f["letter_share"], f["digit_share"], f["wide_share"] = count(str.isalpha) / solid, count(str.isdigit) / solid, wide / solid
+    f["symbol_share"] = count(lambda c: not c.isalnum() and c not in ".,;:!?'\"-()。，、") / solid
+    if not plain:
+        f["odd_share"] = count(lambda c: c == "�" or "\ue000" <= c <= "\uf8ff" or "\x80" <= c <= "\x9f" or "─" <= c <= "▟") / solid
+        f["latin1_share"] = count(lambda c: "\x80" <= c <= "ÿ" or c in "€™œž‚„…†‡ˆ‰‹›") / solid
     f["ended_share"] = sum(x.rstrip()[-1] in END for x in lines) / len(lines)
-    bare = [b for b in map(_bare, words) if b]
-    f["common_share"] = sum(b in COMMON for b in bare) / max(1, len(bare))
-    f["wordlike_share"] = sum(bool(_WORDLIKE.match(w)) for w in words) / len(words)
-    long_letters = [b for b in bare if b.isalpha() and len(b) >= 4]
-    f["vowel_share"] = sum(len(_VOWEL.findall(b)) for b in long_letters) / max(1, sum(map(len, long_letters)))
+    # Each different word is looked at once.
+    times = Counter(words)
+    stripped = {w: _bare(w) for w in times}
+    known = {w: b in COMMON for w, b in stripped.items()}
+    weighed = lambda test: sum(n for w, n in times.items() if test(w)) / len(words)
+    bare = [b for b in map(stripped.__getitem__, words) if b]
+    f["common_share"] = sum(map(known.__getitem__, words)) / max(1, len(bare))
+    f["wordlike_share"] = weighed(_WORDLIKE.match)
+    long_letters = [(stripped[w], n) for w, n in times.items() if len(stripped[w]) >= 4 and stripped[w].isalpha()]
+    f["vowel_share"] = sum(n * len(_VOWEL.findall(b)) for b, n in long_letters) / max(1, sum(n * len(b) for b, n in long_letters))
     f["distinct_share"] = len(set(bare)) / max(1, len(bare))
-    f["torn_share"] = sum(bool(_TORN.search(w)) for w in words) / len(words)
-    f["inner_share"] = sum(bool(_INNER.search(w)) for w in words) / len(words)
+    f["torn_share"] = weighed(_TORN.search)
+    f["inner_share"] = weighed(_INNER.search)
     pieces = Counter(x for x in map(str.strip, _PIECE.split(text)) if x)
     f["n_pieces"] = pieces.total()
     f["top_piece"] = max(pieces.values(), default=0) / max(1, pieces.total())
@@ -123,9 +126,11 @@ def figures(text: str | None) -> dict:
     for n in (2, 4):
         grams = Counter(zip(*[bare[i:] for i in range(n)]))
         if grams:
-            gram, times = max(grams.items(), key=lambda x: x[1] * sum(map(len, x[0])))
-            f[f"top_{n}gram"] = times * sum(map(len, gram)) / max(1, len(solid)) if times > 1 else 0.0
+            gram, often = max(grams.items(), key=lambda x: x[1] * sum(map(len, x[0])))
+            f[f"top_{n}gram"] = often * sum(map(len, gram)) / max(1, solid) if often > 1 else 0.0
     f["packed"] = len(zlib.compress(text.encode("utf-8", "replace"), 1)) / max(1, len(text.encode("utf-8", "replace")))
+    # A bullet glued to a word makes another word of it.
+    common = lambda ws: sum(known[w] if w in known else _bare(w) in COMMON for w in ws)
     rows = items = sentences = 0
     flat_words = flat_common = 0
     for line in lines:
@@ -134,13 +139,13 @@ def figures(text: str | None) -> dict:
             rows += 1
             continue
         stops = len(_SENTENCE.findall(line))
-        share = _common(w) / len(w)
+        share = common(w) / len(w)
         if _cells(line) >= 3 and share < 0.15 and not (stops > 1 and share > 0.05):
             rows += 1
             continue
         marked = _BULLET.match(line)
         body = line[marked.end() :].split() if marked else w
-        inner = _common(body) / max(1, len(body))
+        inner = common(body) / max(1, len(body))
         listed = bool(_FLAG.match(line) or _PATH.match(line)) or (marked and len(body) <= 8 and (inner < 0.34 or len(body) <= 3)) or (_SETTING.match(line) and len(w) <= 9 and inner < 0.15 and not stops)
         short = len(w) <= 5 and max(map(len, w)) <= 30 and not line.rstrip().endswith((".", "!", "?", "…", "。", ",")) and not any(map(_wide, line))
         if listed and max(map(len, body)) <= 60:
@@ -148,7 +153,7 @@ def figures(text: str | None) -> dict:
         elif short:
             items += 1
             flat_words += len(w)
-            flat_common += _common(w)
+            flat_common += common(w)
         else:
             sentences += max(1, stops, len(w) // 20)
     f["n_rows"], f["n_items"], f["n_sentences"] = rows, items, sentences
@@ -168,7 +173,7 @@ def figures(text: str | None) -> dict:
             f["inline_mean"] = sum(map(len, parts)) / len(parts)
             f["inline_short"] = sum(len(p) <= 4 for p in parts) / len(parts)
             f["inline_distinct"] = len({" ".join(p) for p in parts}) / len(parts)
-            f["inline_common"] = _common(line.split()) / len(line.split())
+            f["inline_common"] = common(line.split()) / len(line.split())
     return f
 
 
