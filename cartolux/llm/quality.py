@@ -131,7 +131,7 @@ def figures(text: str | None) -> dict:
     f["packed"] = len(zlib.compress(text.encode("utf-8", "replace"), 1)) / max(1, len(text.encode("utf-8", "replace")))
     # A bullet glued to a word makes another word of it.
     common = lambda ws: sum(known[w] if w in known else _bare(w) in COMMON for w in ws)
-    rows = items = sentences = 0
+    rows = items = marks = sentences = 0
     flat_words = flat_common = 0
     for line in lines:
         w = line.split()
@@ -150,13 +150,14 @@ def figures(text: str | None) -> dict:
         short = len(w) <= 5 and max(map(len, w)) <= 30 and not line.rstrip().endswith((".", "!", "?", "…", "。", ",")) and not any(map(_wide, line))
         if listed and max(map(len, body)) <= 60:
             items += 1
+            marks += 1
         elif short:
             items += 1
             flat_words += len(w)
             flat_common += common(w)
         else:
             sentences += max(1, stops, len(w) // 20)
-    f["n_rows"], f["n_items"], f["n_sentences"] = rows, items, sentences
+    f["n_rows"], f["n_items"], f["n_marked"], f["n_sentences"] = rows, items, marks, sentences
     f["short_words"], f["short_common"] = flat_words, flat_common
     # One row of items: the line with most separators, cut by its commonest one.
     for line in lines:
@@ -180,7 +181,7 @@ def figures(text: str | None) -> dict:
 FIGURES = (
     "n_chars", "n_lines", "n_words", "mean_word", "longest_word", "letter_share", "digit_share", "wide_share", "symbol_share", "odd_share", "latin1_share",
     "ended_share", "common_share", "wordlike_share", "vowel_share", "distinct_share", "torn_share", "inner_share", "n_pieces", "top_piece", "repeated_lines", "repeated_paragraphs", "top_2gram", "top_4gram",
-    "packed", "n_rows", "n_items", "n_sentences", "short_words", "short_common", "inline_items", "inline_mean", "inline_short", "inline_distinct", "inline_common",
+    "packed", "n_rows", "n_items", "n_marked", "n_sentences", "short_words", "short_common", "inline_items", "inline_mean", "inline_short", "inline_distinct", "inline_common",
 )
 
 
@@ -208,9 +209,9 @@ def kind(f: Callable[[str], Column] = F.col) -> Column:
     one_row = one_row & (f("n_rows") < 2) & (f("n_lines") <= 12) & (f("inline_items") > 2 * (f("n_sentences") + f("n_items") + f("n_rows") - 1))
     boilerplate = (f("inline_items") >= 8) & (f("inline_distinct") < 0.5)
     looped = (f("n_pieces") >= 6) & (f("top_piece") >= 0.8)
-    plain = f("short_common") <= 0.2 * f("short_words") + 2
-    listed = (f("n_items") >= 3) & (f("n_items") >= 0.6 * units) & plain
-    unreadable = spaced & ((f("mean_word") > 15) | (f("torn_share") > 0.15) | ((f("inner_share") > 0.025) & (f("common_share") < 0.2)) | ((f("n_words") >= 12) & (f("common_share") < 0.06)))
+    bare = (f("short_common") <= 0.12 * f("short_words") + 2) & (f("common_share") < 0.25)
+    listed = ((f("n_items") >= 3) & (f("n_items") >= 0.6 * units) & bare) | ((f("n_marked") >= 3) & (f("n_marked") >= 0.5 * units))
+    unreadable = spaced & ((f("mean_word") > 15) | (f("torn_share") > 0.15) | ((f("inner_share") > 0.025) & (f("common_share") < 0.3)) | ((f("n_words") >= 12) & (f("common_share") < 0.06)))
     return (
         F.when(f("n_words") == 0, None)
         .when(damaged | symbols, "junk")
