@@ -210,7 +210,7 @@ def kind(f: Callable[[str], Column] = F.col) -> Column:
     boilerplate = (f("inline_items") >= 8) & (f("inline_distinct") < 0.5)
     looped = (f("n_pieces") >= 6) & (f("top_piece") >= 0.8)
     bare = (f("short_common") <= 0.12 * f("short_words") + 2) & (f("common_share") < 0.25)
-    listed = ((f("n_items") >= 3) & (f("n_items") >= 0.6 * units) & bare) | ((f("n_marked") >= 3) & (f("n_marked") >= 0.5 * units))
+    listed = ((f("n_items") >= 3) & (f("n_items") >= 0.6 * units) & bare) | ((f("n_marked") >= 3) & (f("n_marked") >= 0.6 * units))
     unreadable = spaced & ((f("mean_word") > 15) | (f("torn_share") > 0.15) | ((f("inner_share") > 0.025) & (f("common_share") < 0.3)) | ((f("n_words") >= 12) & (f("common_share") < 0.06)))
     return (
         F.when(f("n_words") == 0, None)
