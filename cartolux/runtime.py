@@ -54,6 +54,15 @@ class Stage:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/cartolux-{uuid.uuid4().hex}"
         self.made = 0
+        atexit.register(self._clear)
+
+    def _clear(self) -> None:
+        """Removes what is left when the driver ends; results read from here have been written by then."""
+        try:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        except Exception:
+            pass  # the session is gone; the folder is the cluster's to clear
 
     def write(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.made += 1
