@@ -256,14 +256,19 @@ def j4_label_before(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql("hits", """
-r AS (SELECT entry_id, qry_id, ref_id, ori, aln_set FROM hits)
-SELECT a.qry_id, a.aln_set, a.entry_id, b.entry_id AS entry_id2, a.ref_id, b.ref_id AS ref_id2 FROM r a JOIN r b ON a.qry_id = b.qry_id AND a.aln_set = b.aln_set AND a.entry_id < b.entry_id AND a.ori <> b.ori"""))
-def j7_opposite_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of hits of one query in opposite orientation (J7). Queries have few hits in a set; the smaller side
-    of a pair is the key's own rows, split by AQE where a query is hot."""
-    r = I.hits(spark, d).select("entry_id", "qry_id", "ref_id", "ori", "aln_set")
-    b = r.select("qry_id", "aln_set", F.col("entry_id").alias("entry_id2"), F.col("ref_id").alias("ref_id2"), F.col("ori").alias("ori2"))
-    return r.join(b, ["qry_id", "aln_set"]).filter((F.col("entry_id") < F.col("entry_id2")) & (F.col("ori") != F.col("ori2"))).select("qry_id", "aln_set", "entry_id", "entry_id2", "ref_id", "ref_id2")
+g AS (SELECT qry_id, aln_set, count(*) FILTER (ori = '+') AS plus, count(*) FILTER (ori = '-') AS minus, min(entry_id) FILTER (ori = '+') AS first_plus, min(entry_id) FILTER (ori = '-') AS first_minus FROM hits GROUP BY ALL)
+SELECT entry_id, aln_set, h.qry_id, CASE WHEN ori = '+' THEN minus ELSE plus END AS n_links, CASE WHEN ori = '+' THEN first_minus ELSE first_plus END AS partner
+FROM hits h JOIN g USING (qry_id, aln_set) WHERE plus > 0 AND minus > 0"""))
+def j7_opposite_links(spark: SparkSession, d: str) -> DataFrame:
+    """Hits of one query in opposite orientation (J7): each hit with the number of its partners and the first.
+    All pairs of a query follow from its two classes, so they are not written out."""
+    h = I.hits(spark, d).select("entry_id", "aln_set", "qry_id", "ori")
+    plus = F.col("ori") == "+"
+    g = h.groupBy("qry_id", "aln_set").agg(
+        F.count_if(plus).alias("plus"), F.count_if(~plus).alias("minus"), F.min(F.when(plus, F.col("entry_id"))).alias("first_plus"), F.min(F.when(~plus, F.col("entry_id"))).alias("first_minus")
+    )
+    both = salted_join(h, g.filter("plus > 0 AND minus > 0"), ["qry_id", "aln_set"], [F.col("entry_id")])
+    return both.select("entry_id", "aln_set", "qry_id", F.when(plus, F.col("minus")).otherwise(F.col("plus")).alias("n_links"), F.when(plus, F.col("first_minus")).otherwise(F.col("first_plus")).alias("partner"))
 
 
 @query(sql("hits", """
