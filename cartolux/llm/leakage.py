@@ -54,8 +54,8 @@ _TAG = re.compile(r"</?(?:b|i|u|em|strong|span|code|a|mark|sub|sup|small|s|q|fon
 _BLOCK_TAG = re.compile(r"<[/!?]?[A-Za-z][^<>]*>|<!--|-->")
 _ENTITY = re.compile(r"&(?:#\d+|#x[0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
 _BREAK = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t>]*(?=[^\W\d_])")
-_INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ]")
-_SPACE = re.compile(r"[\s  \u0085\x1c-\x1f—―/|]+")
+_INVISIBLE = re.compile("[\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0f\ufeff\uffa0]")
+_SPACE = re.compile(r"[\s\u2028\u2029\u0085\x1c-\x1f\u2014\u2015/|]+")
 _MARK = re.compile(r"[\W_]+")
 
 
