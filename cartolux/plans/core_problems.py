@@ -95,7 +95,7 @@ P3 = """
 WITH spans AS (
   SELECT aln_set, RefContigID AS id, CAST(round(RefStartPos * 10) AS BIGINT) AS a, CAST(round(coalesce(RefEndPos, RefStartPos + QryLen) * 10) AS BIGINT) AS b
   FROM xmap WHERE RefContigID IS NOT NULL AND RefStartPos IS NOT NULL AND coalesce(RefEndPos, RefStartPos + QryLen) IS NOT NULL),
-placed AS (SELECT aln_set, id, least(a, b) AS lo, greatest(a, b) AS hi FROM spans),
+placed AS (SELECT DISTINCT aln_set, id, least(a, b) AS lo, greatest(a, b) AS hi FROM spans),
 reach AS (SELECT *, max(hi) OVER (PARTITION BY aln_set, id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far FROM placed),
 marked AS (SELECT *, sum(CASE WHEN so_far IS NULL OR lo > so_far THEN 1 ELSE 0 END) OVER (PARTITION BY aln_set, id ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS n FROM reach),
 periods AS (SELECT aln_set, id, n, min(lo) AS lo, max(hi) AS hi FROM marked GROUP BY ALL),
