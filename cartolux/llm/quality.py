@@ -48,7 +48,7 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 _WORDLIKE = re.compile(r"^[^\w]*[^\W\d_]+(?:['’\-][^\W\d_]+)*[^\w]*$")
 _NUMBER = re.compile(r"^[-+−]?(?:\d[\d.,]*|\.\d+)(?:[eE][-+]?\d+)?%?$")
 _SEPARATORS = ("\t", "|", ";", ",", "~", "  ")
-_ROW_ITEM = re.compile(r"\s[·•|/>»→~]\s|\s::\s|[,;]\s|\s*\t\s*|\s{2,}")
+_ROW_MARKS = (" · ", " • ", " | ", " / ", " > ", " » ", " → ", " ~ ", " :: ", ", ", "; ", "\t", "  ")
 _TORN = re.compile(r"[^\W\d_][?#�@*$%&][^\W\d_]|^[?#�@*$%&][^\W\d_]")
 _INNER = re.compile(r"[^\W\d_][.,?!;:][^\W\d_]")
 _PIECE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
@@ -124,10 +124,8 @@ def figures(text: str | None) -> dict:
     paragraphs = [p for p in re.split(r"\n\s*\n", text) if p.strip()]
     f["repeated_paragraphs"] = 1 - len(set(paragraphs)) / max(1, len(paragraphs))
     for n in (2, 4):
-        grams = Counter(zip(*[bare[i:] for i in range(n)]))
-        if grams:
-            gram, often = max(grams.items(), key=lambda x: x[1] * sum(map(len, x[0])))
-            f[f"top_{n}gram"] = often * sum(map(len, gram)) / max(1, solid) if often > 1 else 0.0
+        often = (times * sum(map(len, gram)) for gram, times in Counter(zip(*[bare[i:] for i in range(n)])).items() if times > 1)
+        f[f"top_{n}gram"] = max(often, default=0) / solid
     f["packed"] = len(zlib.compress(text.encode("utf-8", "replace"), 1)) / max(1, len(text.encode("utf-8", "replace")))
     # A bullet glued to a word makes another word of it.
     common = lambda ws: sum(known[w] if w in known else _bare(w) in COMMON for w in ws)
@@ -161,10 +159,9 @@ def figures(text: str | None) -> dict:
     f["short_words"], f["short_common"] = flat_words, flat_common
     # One row of items: the line with most separators, cut by its commonest one.
     for line in lines:
-        seps = Counter(m.strip() or ("\t" if "\t" in m else "  ") for m in _ROW_ITEM.findall(line)) if len(line) > 40 else None
-        if not seps:
+        if len(line) <= 40:
             continue
-        s, n = seps.most_common(1)[0]
+        n, s = max((line.count(s), s) for s in _ROW_MARKS)
         if n < max(4, f["inline_items"]):
             continue
         parts = [p.split() for p in (re.split(r" {2,}", line) if s == "  " else line.split(s))]
