@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import table
+from ..runtime import salted_join, table
 
 
 def _tenths(column: str) -> str:
@@ -17,6 +17,9 @@ def _tenths(column: str) -> str:
 
 _LABELS = ["map_set", "CMapId AS map_id", "SiteID AS site_id", "LabelChannel AS channel", f"{_tenths('Position')} AS pos", f"{_tenths('Coverage')} AS coverage", "CAST(round(ChimQuality * 100) AS BIGINT) AS quality"]
 _LABELS_WHERE = "LabelChannel > 0 AND Position >= 0 AND Position < 1e8 AND (ContigLength IS NULL OR Position <= ContigLength)"
+#: NaN is above every number and fails both.
+_PLACED = "LabelChannel > 0 AND Position >= 0 AND Position < 9.2e17"
+_STATED = "ContigLength < double('Infinity')"
 _MAPS = ["map_set", "CMapId AS map_id"]
 _HITS = [
     "aln_set", "XmapEntryID AS entry_id", "QryContigID AS qry_id", "RefContigID AS ref_id", f"{_tenths('QryStartPos')} AS qs", f"{_tenths('QryEndPos')} AS qe",
@@ -39,7 +42,15 @@ _TO = "ACGTACGTACGTACGTACGTAC" * 2 + "ACGT"
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "cmap").filter(_LABELS_WHERE).selectExpr(*_LABELS).distinct()
+    """Labels at places up to the end of their map: its length by the row, or else by the map's other rows (as
+    ``label_values`` of p6); where none states one, every place that tenths in a BIGINT can hold. The SQL
+    beside it also ends at 1e8 and judges rows without a length by that alone."""
+    cmap = table(spark, d, "cmap")
+    placed = cmap.filter(_PLACED)
+    stated = placed.filter(f"{_STATED} AND Position <= ContigLength").selectExpr(*_LABELS)
+    lengths = cmap.filter(_STATED).groupBy("CMapId").agg(F.max("ContigLength").alias("_length"))
+    unstated = salted_join(placed.filter(f"NOT coalesce({_STATED}, false)"), lengths, ["CMapId"], [F.col("SiteID")], "left")
+    return stated.unionByName(unstated.filter("_length IS NULL OR Position <= _length").selectExpr(*_LABELS)).distinct()
 
 
 def maps(spark: SparkSession, d: str) -> DataFrame:
