@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import align as A
@@ -47,23 +47,29 @@ def x27_two_pass_alignments(spark: SparkSession, d: str) -> DataFrame:
     return out.select("qry_id", "ref_id", F.size("pairs").alias("n_pairs"), F.floor(F.col("score") * 1000 + 0.5).alias("score3"), "ori")
 
 
-@query()
-def x14_gap_fillers(spark: SparkSession, d: str) -> DataFrame:
-    """The best small map for every internal gap."""
+def _fillers(spark: SparkSession, d: str) -> DataFrame:
     m, l = I.maps(spark, d), I.labels(spark, d)
     mean = m.filter("num_sites > 0").groupBy("map_set").agg((F.sum("len") / F.sum("num_sites")).alias("mean_distance"))
-    gaps = M.internal_gaps(l, mean, 10, 51).select("map_id", "lo", "hi").distinct()
-    w = Window.partitionBy("map_id").orderBy("pos")
-    ranked = l.select("map_id", "pos").distinct().withColumn("no", F.row_number().over(w))
-    at = gaps.join(ranked.select("map_id", F.col("pos").alias("lo"), F.col("no").alias("at")), ["map_id", "lo"])
-    near = at.join(ranked, "map_id").filter((F.col("no") > F.col("at") - 29) & (F.col("no") <= F.col("at") + 29))
-    contexts = near.groupBy("map_id", "lo", "hi").agg(F.array_sort(F.collect_list("pos")).alias("context")).filter(F.size("context") >= 10)
+    gaps = M.internal_gaps(l, mean, 10, 51).distinct().join(F.broadcast(mean), "map_set")  # one row per map set
+    contexts = A.gap_contexts(gaps.withColumn("stop", 0.618 * 10 * F.col("mean_distance")), l)
     small = m.join(F.broadcast(mean), "map_set").filter("len BETWEEN 20 * mean_distance AND 400 * mean_distance AND num_sites BETWEEN 10 AND 250").select("map_id").distinct()
     smalls = A.packed(l.join(small, "map_id", "left_semi").select("map_id", "pos"))
-    out = A.gap_fillers(gaps, contexts, smalls)
+    return A.gap_fillers(contexts, smalls)
+
+
+@query()
+def x14_gap_fillers(spark: SparkSession, d: str) -> DataFrame:
+    """The best small map for every internal gap."""
+    out = _fillers(spark, d)
     return out.select("map_id", "lo", "hi", "small_id", "n_pairs", F.floor(F.col("score") * 1000 + 0.5).alias("score3"), F.floor(F.col("shift") + 0.5).alias("shift"))
 
 
+@query()
+def x14_filled_maps(spark: SparkSession, d: str) -> DataFrame:
+    """The maps with their gaps filled, all that follows shifted."""
+    return A.filled_maps(I.labels(spark, d), _fillers(spark, d))
+
+
 @query()
 def x23_merged_labels(spark: SparkSession, d: str) -> DataFrame:
     """Labels of all maps of a path on one axis (X23): the layout's node ids count maps of the whole stage, so
