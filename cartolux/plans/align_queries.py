@@ -33,15 +33,16 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query()
 def x3_realigned_hits(spark: SparkSession, d: str) -> DataFrame:
-    """Every hit aligned anew over the labels of its spans (X3-X7): pairs, score, confidence."""
+    """Every hit aligned anew over the labels of its spans by this engine's own kernel, not X3's rules:
+    number of pairs, score, direction."""
     out = A.realigned(I.hits(spark, d), I.labels(spark, d), 0, 1_000_000)
     return out.select("entry_id", "aln_set", F.size("pairs").alias("n_pairs"), F.floor(F.col("score") * 1000 + 0.5).alias("score3"), "ori")
 
 
 @query()
 def x27_two_pass_alignments(spark: SparkSession, d: str) -> DataFrame:
-    """Sequence maps against assembled maps in two passes, the best of each (X8, X27, J10): candidates by
-    shared runs of label distances."""
+    """Sequence maps against assembled maps in two passes, the best of each (X27, J10): all pairs scored,
+    the best traced."""
     q, r = _sides(spark, d)
     out = A.two_passes(q, r)
     return out.select("qry_id", "ref_id", F.size("pairs").alias("n_pairs"), F.floor(F.col("score") * 1000 + 0.5).alias("score3"), "ori")
