@@ -2,9 +2,13 @@
 
 Each document is read once, as a whole, in Arrow batches, and becomes one row of figures: words,
 mean word length, shares of symbols, of lines that end in punctuation and of common words; shares of
-repeated lines, paragraphs and word n-grams; and counts of the units it is made of (sentences, list
-items, table rows). Combined rules over these rows, as built-in expressions, separate natural prose
-from lists, tables and junk. Nothing is shuffled.
+repeated lines, paragraphs, sentences and word n-grams; and counts of the units it is made of
+(sentences, list items, table rows). Combined rules over these rows, as built-in expressions, separate
+natural prose from lists, tables and junk. Nothing is shuffled.
+
+No language is junk for its words. ``COMMON`` holds frequent words of some languages; that a text has
+few of them only adds to other evidence: letters that follow each other as in no language, no end of
+any sentence, a handful of words over and over, punctuation and capitals inside words.
 
 Words are what white space separates; in scripts that do not separate words each letter counts as
 one. A unit is a line, or a sentence where a line holds several. Rows are lines cut into short cells
@@ -19,7 +23,7 @@ documents are each judged. Very long texts are read whole, line by line, in line
 from __future__ import annotations
 
 import re
-import zlib
+import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -36,6 +40,7 @@ COMMON = frozenset(
     "el los las una y es no se por con su para como más pero al lo aunque "
     "di che è per non della sono o os da em um uma não do het een van dat op niet zijn met te".split()
 )
+PLAIN_MARKS = ".,;:!?'\"-()。，、"
 END = "。！？；.!?…:;\"'”’»)）】」』"
 _SENTENCE = re.compile(r"[.!?…]+[\"'”’»)*_`]*(?:\s+|$)|[。！？]+")
 _BULLET = re.compile(r"^\s*(?:>\s*)?(?:[-*+•‣◦▪●·–—»→]\s*(?:\[[ xX✓✗]?\]\s*)?|\(?(?:\d{1,4}|[A-Za-z]|[ivxIVX]{1,5})[.):]\s|\[[ xX✓✗]?\]\s|\d{1,4}\s*[-–]\s)\s*(?=\S)")
@@ -44,20 +49,52 @@ _FLAG = re.compile(r"^\s*(?:-{1,2}[A-Za-z]\w*|[A-Za-z_]\w*)(?:\s*[=:]\s*|\s+)(?:
 _PATH = re.compile(r"^\s*(?:[\w.~\-]+[/\\])+[\w.\-]+\s*$|^\s*https?://\S+\s*$|^\s*[\w\-]+\.[A-Za-z]{2,5}\s*$")
 _RULE = re.compile(r"^[\s|+:=_\-─━═┼┬┴├┤│┌┐└┘]{3,}$")
 _CELL_TAG = re.compile(r"</?t(?:able|r|d|h|head|body)\b", re.I)
-_LETTERS = re.compile(r"[^\W\d_]+")
-_WORDLIKE = re.compile(r"^[^\w]*[^\W\d_]+(?:['’\-][^\W\d_]+)*[^\w]*$")
 _NUMBER = re.compile(r"^[-+−]?(?:\d[\d.,]*|\.\d+)(?:[eE][-+]?\d+)?%?$")
 _SEPARATORS = ("\t", "|", ";", ",", "~", "  ")
 _ROW_MARKS = (" · ", " • ", " | ", " / ", " > ", " » ", " → ", " ~ ", " :: ", ", ", "; ", "\t", "  ")
 _TORN = re.compile(r"[^\W\d_][?#�@*$%&][^\W\d_]|^[?#�@*$%&][^\W\d_]")
 _INNER = re.compile(r"[^\W\d_][.,?!;:][^\W\d_]")
+_CAPS = re.compile(r"[^\W\d_A-ZÀ-ÞА-Я](?=[A-ZÀ-ÞА-Я])")
+_STOP = re.compile(r"[^\W\d_][.!?…؟۔።։]+[\"'”’»)*_`]*(?:\s|$)|[。！？।॥]")
+#: Words of the scripts whose vowels are known here, and runs of letters that no language forms often; l and
+#: r count as neither, as they make syllables in some.
+_KNOWN = re.compile(r"^(?:[a-zæœøıłđðþß]+|[а-яёіїєґўђћљњџјѓќѕ]+|[α-ω]+)$")
+_ROUGH = re.compile(r"[bcdfghjkmnpqstvwxzđðþßбвгґджзйкмнпстфхцчшщђћџјѓќѕβγδζθκμνξπσςτφχψ]{4}|^[bcdfghjkmnpqstvwxzбвгджзкмнпстфхцчшщβγδζθκμνξπσςτφχψ]+$|[aeiouyæœøıаеёиоуыэюяіїєαεηιουω]{4}")
+_PARAGRAPH = re.compile(r"\n\s*\n")
 _PIECE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
-_VOWEL = re.compile(r"[aeiouyäöüéèêàâîôûáíóúœæ]", re.I)
 
 
 def _wide(c: str) -> bool:
     """Letters of scripts written without blanks."""
-    return "぀" <= c <= "ヿ" or "㐀" < c <= "鿿" or "฀" <= c <= "๿" or "가" <= c <= "힣"
+    return "぀" <= c <= "ヿ" or "㐀" < c <= "鿿" or "฀" <= c <= "\u0fff" or "\u1000" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" or "가" <= c <= "힣"
+
+
+def _plain_letters(word: str) -> str:
+    """Letters without their accents."""
+    return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
+
+
+def _wrapped(text: str) -> set[int]:
+    """Numbers of the lines (blank ones not counted) that are prose broken into short lines: in their block
+    (between blank lines) sentences end in one of ten short lines or more."""
+    out: set[int] = set()
+    at, block = 0, []
+
+    def close() -> None:
+        short = [(i, bool(_STOP.search(x))) for i, x in block if x.count(" ") <= 6]
+        ends = sum(stop for _, stop in short)
+        if ends >= 2 and 10 * ends >= len(short):
+            out.update(i for i, _ in short)
+        block.clear()
+
+    for line in text.splitlines():
+        if line.strip():
+            block.append((at, line.strip()))
+            at += 1
+        else:
+            close()
+    close()
+    return out
 
 
 def _bare(word: str) -> str:
@@ -90,69 +127,100 @@ def figures(text: str | None) -> dict:
     f["n_chars"], f["n_lines"] = len(text), len(lines)
     if not words:
         return f
+    n_words = len(words)
     solid = sum(map(len, words))
-    chars = Counter(text)
-    count = lambda test: sum(n for c, n in chars.items() if not c.isspace() and test(c))
     plain = text.isascii()
-    wide = 0 if plain else count(_wide)
-    f["n_words"] = len(words)
-    f["mean_word"] = solid / (len(words) + wide)
+    n = dict.fromkeys(("letter", "digit", "symbol", "wide", "odd", "latin1"), 0)
+    for c, k in Counter(text).items():
+        if c.isalpha():
+            n["letter"] += k
+        elif c.isdigit():
+            n["digit"] += k
+        elif c.isspace():
+            continue
+        elif not c.isalnum() and c not in PLAIN_MARKS:
+            n["symbol"] += k
+        if not plain and c > "\x7f":
+            n["wide"] += k * _wide(c)
+            n["odd"] += k * (c == "�" or "\ue000" <= c <= "\uf8ff" or "\x80" <= c <= "\x9f" or "─" <= c <= "▟")
+            n["latin1"] += k * (c <= "ÿ" or c in "€™œž‚„…†‡ˆ‰‹›")
+    f["n_words"] = n_words
+    f["mean_word"] = solid / (n_words + n["wide"])
     f["longest_word"] = max(map(len, words))
-    f["letter_share"], f["digit_share"], f["wide_share"] = count(str.isalpha) / solid, count(str.isdigit) / solid, wide / solid
-    f["symbol_share"] = count(lambda c: not c.isalnum() and c not in ".,;:!?'\"-()。，、") / solid
-    if not plain:
-        f["odd_share"] = count(lambda c: c == "�" or "\ue000" <= c <= "\uf8ff" or "\x80" <= c <= "\x9f" or "─" <= c <= "▟") / solid
-        f["latin1_share"] = count(lambda c: "\x80" <= c <= "ÿ" or c in "€™œž‚„…†‡ˆ‰‹›") / solid
+    for name, k in n.items():
+        f[f"{name}_share"] = k / solid
     f["ended_share"] = sum(x.rstrip()[-1] in END for x in lines) / len(lines)
+    f["stop_share"] = len(_STOP.findall(text)) / n_words
     # Each different word is looked at once.
     times = Counter(words)
     stripped = {w: _bare(w) for w in times}
     known = {w: b in COMMON for w, b in stripped.items()}
-    weighed = lambda test: sum(n for w, n in times.items() if test(w)) / len(words)
     bare = [b for b in map(stripped.__getitem__, words) if b]
     f["common_share"] = sum(map(known.__getitem__, words)) / max(1, len(bare))
-    f["wordlike_share"] = weighed(_WORDLIKE.match)
-    long_letters = [(stripped[w], n) for w, n in times.items() if len(stripped[w]) >= 4 and stripped[w].isalpha()]
-    f["vowel_share"] = sum(n * len(_VOWEL.findall(b)) for b, n in long_letters) / max(1, sum(n * len(b) for b, n in long_letters))
-    f["distinct_share"] = len(set(bare)) / max(1, len(bare))
-    f["torn_share"] = weighed(_TORN.search)
-    f["inner_share"] = weighed(_INNER.search)
+    torn = inner = caps = wordlike = letters = rough = 0
+    for w, k in times.items():
+        b = stripped[w]
+        if b.isalpha():
+            wordlike += k
+            if len(b) >= 4:
+                b = b if b.isascii() else _plain_letters(b)
+                if _KNOWN.match(b):
+                    letters += k
+                    if _ROUGH.search(b):
+                        rough += k
+            if not w.islower() and _CAPS.search(w):
+                caps += k
+        else:
+            if _TORN.search(w):
+                torn += k
+            if _INNER.search(w):
+                inner += k
+            if _CAPS.search(w):
+                caps += k
+    f["wordlike_share"], f["torn_share"], f["inner_share"], f["caps_share"] = wordlike / n_words, torn / n_words, inner / n_words, caps / n_words
+    f["rough_share"] = rough / max(1, letters)
+    f["n_distinct"] = len(set(bare))
+    f["distinct_share"] = f["n_distinct"] / max(1, len(bare))
     pieces = Counter(x for x in map(str.strip, _PIECE.split(text)) if x)
     f["n_pieces"] = pieces.total()
     f["top_piece"] = max(pieces.values(), default=0) / max(1, pieces.total())
+    f["repeated_pieces"] = 1 - len(pieces) / max(1, pieces.total())
     f["repeated_lines"] = 1 - len(set(lines)) / len(lines)
-    paragraphs = [p for p in re.split(r"\n\s*\n", text) if p.strip()]
+    paragraphs = [p for p in _PARAGRAPH.split(text) if p.strip()]
     f["repeated_paragraphs"] = 1 - len(set(paragraphs)) / max(1, len(paragraphs))
-    for n in (2, 4):
-        often = (times * sum(map(len, gram)) for gram, times in Counter(zip(*[bare[i:] for i in range(n)])).items() if times > 1)
-        f[f"top_{n}gram"] = max(often, default=0) / solid
-    f["packed"] = len(zlib.compress(text.encode("utf-8", "replace"), 1)) / max(1, len(text.encode("utf-8", "replace")))
+    pairs = list(zip(bare, bare[1:]))
+    for m, grams in ((2, Counter(pairs)), (4, Counter(zip(pairs, pairs[2:])))):
+        often = [(k, gram) for gram, k in grams.items() if k > 1]
+        f[f"top_{m}gram"] = max((k * (len(g[0]) + len(g[1]) if m == 2 else sum(map(len, g[0] + g[1]))) for k, g in often), default=0) / solid
     # A bullet glued to a word makes another word of it.
     common = lambda ws: sum(known[w] if w in known else _bare(w) in COMMON for w in ws)
     rows = items = marks = sentences = 0
     flat_words = flat_common = 0
+    wrapped = _wrapped(text)
+    at = -1
     for line in lines:
+        at += 1
         w = line.split()
         if _RULE.match(line) or _CELL_TAG.search(line):
             rows += 1
             continue
         stops = len(_SENTENCE.findall(line))
-        share = common(w) / len(w)
-        if _cells(line) >= 3 and share < 0.15 and not (stops > 1 and share > 0.05):
+        share = sum(map(known.__getitem__, w)) / len(w)
+        if not (stops > 1 and share > 0.05) and share < 0.15 and at not in wrapped and _cells(line) >= 3:
             rows += 1
             continue
         marked = _BULLET.match(line)
         body = line[marked.end() :].split() if marked else w
-        inner = common(body) / max(1, len(body))
-        listed = bool(_FLAG.match(line) or _PATH.match(line)) or (marked and len(body) <= 8 and (inner < 0.34 or len(body) <= 3)) or (_SETTING.match(line) and len(w) <= 9 and inner < 0.15 and not stops)
+        inner = common(body) / max(1, len(body)) if marked else share
+        listed = bool(_FLAG.match(line) or _PATH.match(line)) or (marked and len(body) <= 8 and (inner < 0.34 or len(body) <= 3)) or (len(w) <= 9 and inner < 0.15 and not stops and _SETTING.match(line))
         short = len(w) <= 5 and max(map(len, w)) <= 30 and not line.rstrip().endswith((".", "!", "?", "…", "。", ",")) and not any(map(_wide, line))
         if listed and max(map(len, body)) <= 60:
             items += 1
             marks += 1
-        elif short:
+        elif short and at not in wrapped:
             items += 1
             flat_words += len(w)
-            flat_common += common(w)
+            flat_common += sum(map(known.__getitem__, w))
         else:
             sentences += max(1, stops, len(w) // 20)
     f["n_rows"], f["n_items"], f["n_marked"], f["n_sentences"] = rows, items, marks, sentences
@@ -161,8 +229,8 @@ def figures(text: str | None) -> dict:
     for line in lines:
         if len(line) <= 40:
             continue
-        n, s = max((line.count(s), s) for s in _ROW_MARKS)
-        if n < max(4, f["inline_items"]):
+        k, s = max((line.count(s), s) for s in _ROW_MARKS)
+        if k < max(4, f["inline_items"]):
             continue
         parts = [p.split() for p in (re.split(r" {2,}", line) if s == "  " else line.split(s))]
         parts = [p for p in parts if p]
@@ -177,8 +245,9 @@ def figures(text: str | None) -> dict:
 
 FIGURES = (
     "n_chars", "n_lines", "n_words", "mean_word", "longest_word", "letter_share", "digit_share", "wide_share", "symbol_share", "odd_share", "latin1_share",
-    "ended_share", "common_share", "wordlike_share", "vowel_share", "distinct_share", "torn_share", "inner_share", "n_pieces", "top_piece", "repeated_lines", "repeated_paragraphs", "top_2gram", "top_4gram",
-    "packed", "n_rows", "n_items", "n_marked", "n_sentences", "short_words", "short_common", "inline_items", "inline_mean", "inline_short", "inline_distinct", "inline_common",
+    "ended_share", "stop_share", "common_share", "wordlike_share", "rough_share", "n_distinct", "distinct_share", "torn_share", "inner_share", "caps_share", "n_pieces", "top_piece",
+    "repeated_pieces", "repeated_lines", "repeated_paragraphs", "top_2gram", "top_4gram", "n_rows", "n_items", "n_marked", "n_sentences", "short_words", "short_common",
+    "inline_items", "inline_mean", "inline_short", "inline_distinct", "inline_common",
 )
 
 
@@ -205,10 +274,16 @@ def kind(f: Callable[[str], Column] = F.col) -> Column:
     one_row = (f("inline_items") >= 5) & (f("inline_mean") <= 3.5) & (f("inline_short") > 0.85) & (f("inline_common") < 0.12)
     one_row = one_row & (f("n_rows") < 2) & (f("n_lines") <= 12) & (f("inline_items") > 2 * (f("n_sentences") + f("n_items") + f("n_rows") - 1))
     boilerplate = (f("inline_items") >= 8) & (f("inline_distinct") < 0.5)
-    looped = (f("n_pieces") >= 6) & (f("top_piece") >= 0.8)
+    looped = ((f("n_pieces") >= 6) & (f("top_piece") >= 0.8)) | ((f("n_pieces") >= 12) & (f("repeated_pieces") >= 0.8) & spaced)
+    looped = looped | ((f("n_lines") >= 12) & (f("repeated_lines") >= 0.8)) | (f("repeated_paragraphs") >= 0.9) | ((f("n_words") >= 40) & (f("top_4gram") >= 0.7))
     bare = (f("short_common") <= 0.12 * f("short_words") + 2) & (f("common_share") < 0.25)
     listed = ((f("n_items") >= 3) & (f("n_items") >= 0.6 * units) & bare) | ((f("n_marked") >= 3) & (f("n_marked") >= 0.6 * units))
-    unreadable = spaced & ((f("mean_word") > 15) | (f("torn_share") > 0.15) | ((f("inner_share") > 0.025) & (f("common_share") < 0.3)) | ((f("n_words") >= 12) & (f("common_share") < 0.06)))
+    # Few common words say nothing by themselves: the language may be one that COMMON lacks.
+    unpunctuated = f("stop_share") < 0.01
+    scrambled = (f("inner_share") > 0.025) & (f("common_share") < 0.3) & ((f("caps_share") > 0.01) | (f("rough_share") > 0.1) | (f("stop_share") < 0.03))
+    gibberish = (f("n_words") >= 12) & (f("common_share") < 0.06) & unpunctuated & (f("rough_share") > 0.2)
+    heap = (f("n_words") >= 30) & (f("common_share") < 0.06) & unpunctuated & ((f("n_distinct") <= 2 * F.sqrt(f("n_words"))) | ((f("n_words") <= 100) & (f("distinct_share") <= 0.3)))
+    unreadable = spaced & ((f("mean_word") > 15) | (f("torn_share") > 0.15) | scrambled | gibberish | heap)
     return (
         F.when(f("n_words") == 0, None)
         .when(damaged | symbols, "junk")
