@@ -16,7 +16,6 @@ def _tenths(column: str) -> str:
 
 
 _LABELS = ["map_set", "CMapId AS map_id", "SiteID AS site_id", "LabelChannel AS channel", f"{_tenths('Position')} AS pos", f"{_tenths('Coverage')} AS coverage", "CAST(round(ChimQuality * 100) AS BIGINT) AS quality"]
-_LABELS_WHERE = "LabelChannel > 0 AND Position >= 0 AND Position < 1e8 AND (ContigLength IS NULL OR Position <= ContigLength)"
 #: NaN is above every number and fails both.
 _PLACED = "LabelChannel > 0 AND Position >= 0 AND Position < 9.2e17"
 _STATED = "ContigLength < double('Infinity')"
@@ -43,8 +42,7 @@ _TO = "ACGTACGTACGTACGTACGTAC" * 2 + "ACGT"
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
     """Labels at places up to the end of their map: its length by the row, or else by the map's other rows (as
-    ``label_values`` of p6); where none states one, every place that tenths in a BIGINT can hold. The SQL
-    beside it also ends at 1e8 and judges rows without a length by that alone."""
+    ``label_values`` of p6); where none states one, every place that tenths in a BIGINT can hold."""
     cmap = table(spark, d, "cmap")
     placed = cmap.filter(_PLACED)
     stated = placed.filter(f"{_STATED} AND Position <= ContigLength").selectExpr(*_LABELS)
@@ -54,7 +52,7 @@ def labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 def maps(spark: SparkSession, d: str) -> DataFrame:
-    usable = table(spark, d, "cmap").filter("ContigLength > 0 AND ContigLength < 1e9 AND CMapId IS NOT NULL")
+    usable = table(spark, d, "cmap").filter("ContigLength > 0 AND ContigLength < 9.2e17 AND CMapId IS NOT NULL")
     return usable.selectExpr(*_MAPS, f"{_tenths('ContigLength')} AS len", "NumSites AS n").groupBy("map_set", "map_id").agg(F.max("len").alias("len"), F.max("n").alias("num_sites"))
 
 
@@ -84,8 +82,8 @@ def evidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 CTES = {
-    "labels": f"labels AS (SELECT DISTINCT {', '.join(_LABELS)} FROM cmap WHERE {_LABELS_WHERE})",
-    "maps": f"maps AS (SELECT map_set, CMapId AS map_id, max({_tenths('ContigLength')}) AS len, max(NumSites) AS num_sites FROM cmap WHERE ContigLength > 0 AND ContigLength < 1e9 AND CMapId IS NOT NULL GROUP BY 1, 2)",
+    "labels": f"lens AS (SELECT CMapId, max(ContigLength) AS _length FROM cmap WHERE isfinite(ContigLength) GROUP BY 1), labels AS (SELECT DISTINCT {', '.join(_LABELS)} FROM cmap LEFT JOIN lens USING (CMapId) WHERE LabelChannel > 0 AND isfinite(Position) AND Position >= 0 AND Position < 9.2e17 AND (CASE WHEN isfinite(ContigLength) THEN Position <= ContigLength ELSE _length IS NULL OR Position <= _length END))",
+    "maps": f"maps AS (SELECT map_set, CMapId AS map_id, max({_tenths('ContigLength')}) AS len, max(NumSites) AS num_sites FROM cmap WHERE ContigLength > 0 AND ContigLength < 9.2e17 AND CMapId IS NOT NULL GROUP BY 1, 2)",
     "hits": f"hits AS (SELECT DISTINCT {', '.join(_HITS)} FROM xmap WHERE {_HITS_WHERE})",
     "gl": f"gl AS (SELECT DISTINCT {', '.join(_GLUES)} FROM glues WHERE {_GLUES_WHERE})",
     "ed": f"ed AS (SELECT a, b, max(CAST(round(overlap * 10) AS BIGINT)) AS weight FROM (SELECT {', '.join(_EDGES)} FROM edges WHERE {_EDGES_WHERE}) GROUP BY 1, 2)",

@@ -55,17 +55,18 @@ def x24_recombined(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CUTS = """
-lens AS (SELECT map_id, max(len) AS len FROM maps GROUP BY 1),
-inside AS (SELECT DISTINCT l.map_id, l.pos AS "at", m.len FROM labels l JOIN lens m USING (map_id) WHERE l.quality BETWEEN 0 AND 7500 AND l.pos > 0 AND l.pos < m.len - 1),
+ext AS (SELECT map_id, max(len) AS len FROM maps GROUP BY 1),
+top AS (SELECT max(map_id) AS m FROM ext),
+inside AS (SELECT DISTINCT l.map_id, l.pos AS "at", m.len FROM labels l JOIN ext m USING (map_id) WHERE l.quality BETWEEN 0 AND 7500 AND l.pos > 0 AND l.pos < m.len - 1),
 b AS (SELECT map_id, len, "at" FROM inside UNION SELECT map_id, len, NULL FROM inside),
-cut AS (SELECT map_id AS old_id, coalesce("at" + 1, 0) AS old_start, coalesce(lead("at") OVER w, len - 1) AS old_end, 10000000::BIGINT * 1 + 10000000::BIGINT * 2 * (row_number() OVER w - 1) + map_id AS new_id FROM b WINDOW w AS (PARTITION BY map_id ORDER BY "at" NULLS FIRST)),
-seg AS (SELECT * FROM cut UNION ALL SELECT map_id, 0, len - 1, map_id FROM lens WHERE map_id NOT IN (SELECT map_id FROM inside))"""
+cut AS (SELECT map_id AS old_id, coalesce("at" + 1, 0) AS old_start, coalesce(lead("at") OVER w, len - 1) AS old_end, m * 1 + m * 2 * (row_number() OVER w - 1) + map_id AS new_id FROM b, top WINDOW w AS (PARTITION BY map_id ORDER BY "at" NULLS FIRST)),
+seg AS (SELECT * FROM cut UNION ALL SELECT map_id, 0, len - 1, map_id FROM ext WHERE map_id NOT IN (SELECT map_id FROM inside))"""
 
 
 def _segments(spark: SparkSession, d: str) -> DataFrame:
     lengths = I.maps(spark, d).groupBy("map_id").agg(F.max("len").alias("len"))
     cuts = I.labels(spark, d).filter("quality BETWEEN 0 AND 7500").select("map_id", F.col("pos").alias("at"))
-    return M.fragments(cuts, lengths, 1, 2, 10_000_000)
+    return M.fragments(cuts, lengths, 1, 2, lengths.agg(F.max("map_id")).first()[0] or 0)  # one value
 
 
 @query(sql("labels maps", _CUTS + " SELECT old_id, old_start, old_end, new_id, 0::BIGINT AS new_start, old_end - old_start AS new_end FROM seg"))

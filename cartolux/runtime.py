@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Salts given to the big side of a join whose key may be hot.
 SALTS = 16
+#: How much larger than its compressed files a table is assumed to be in memory.
+GROWTH = 8
 
 
 def session(app: str = "cartolux", cores: str | int = "*", **conf: str) -> SparkSession:
@@ -36,9 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session, or, only where
-    that is unset (tests, a single machine), a temporary folder that is removed at exit."""
+    that is unset and the master is local (tests, a single machine), a temporary folder that is removed
+    at exit. On a cluster without the setting this raises: executors would write to disks of their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="cartolux-")
         atexit.register(shutil.rmtree, folder, True)
         folder = f"file://{folder}"
@@ -79,10 +84,11 @@ class Stage:
 
 
 def small_enough(df: DataFrame) -> bool:
-    """Whether Catalyst's upper estimate of ``df`` is within the session's broadcast limit."""
+    """Whether Catalyst's estimate of ``df`` leaves its hash table within the session's broadcast limit.
+    Files are compressed, so the estimate counts ``GROWTH`` fold."""
     spark = df.sparkSession
     limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+    return GROWTH * int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_by: list[Column], how: str = "inner", salts: int = SALTS) -> DataFrame:
