@@ -55,7 +55,7 @@ _ROW_MARKS = (" · ", " • ", " | ", " / ", " > ", " » ", " → ", " ~ ", " ::
 _TORN = re.compile(r"[^\W\d_][?#�@*$%&][^\W\d_]|^[?#�@*$%&][^\W\d_]")
 _INNER = re.compile(r"[^\W\d_][.,?!;:][^\W\d_]")
 _CAPS = re.compile(r"[^\W\d_A-ZÀ-ÞА-Я](?=[A-ZÀ-ÞА-Я])")
-_STOP = re.compile(r"[^\W\d_][.!?…؟۔።։]+[\"'”’»)*_`]*(?:\s|$)|[。！？।॥]")
+_STOP = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0900-\u0dff\u0e31-\u0e4e\u1000-\u109f])[.!?…؟۔።։]+[\"'”’»)*_`]*(?:\s|$)|[。！？।॥]")
 #: Words of the scripts whose vowels are known here, and runs of letters that no language forms often; l and
 #: r count as neither, as they make syllables in some.
 _KNOWN = re.compile(r"^(?:[a-zæœøıłđðþß]+|[а-яёіїєґўђћљњџјѓќѕ]+|[α-ω]+)$")
