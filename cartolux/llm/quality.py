@@ -59,7 +59,7 @@ _STOP = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0900-
 #: Words of the scripts whose vowels are known here, and runs of letters that no language forms often; l and
 #: r count as neither, as they make syllables in some.
 _KNOWN = re.compile(r"^(?:[a-zæœøıłđðþß]+|[а-яёіїєґўђћљњџјѓќѕ]+|[α-ω]+)$")
-_ROUGH = re.compile(r"[bcdfghjkmnpqstvwxzđðþßбвгґджзйкмнпстфхцчшщђћџјѓќѕβγδζθκμνξπσςτφχψ]{4}|^[bcdfghjkmnpqstvwxzбвгджзкмнпстфхцчшщβγδζθκμνξπσςτφχψ]+$|[aeiouyæœøıаеёиоуыэюяіїєαεηιουω]{4}")
+_ROUGH = re.compile(r"[bcdfghjkmnpqstvwxzđðþßбвгґджзйкмнпстфхцчшщђћџјѓќѕβγδζθκμνξπσςτφχψ]{4}|^[lrлрλρ]?[bcdfghjkmnpqstvwxzбвгджзкмнпстфхцчшщβγδζθκμνξπσςτφχψ]+[lrлрλρ]?$|^[b-df-hj-np-tv-xzб-гджзк-нпр-тф-щβ-δζθκ-νξπρ-τφ-ψ]{6}|[aeiouyæœøıаеёиоуыэюяіїєαεηιουω]{4}")
 _PARAGRAPH = re.compile(r"\n\s*\n")
 _PIECE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
 
@@ -282,7 +282,9 @@ def kind(f: Callable[[str], Column] = F.col) -> Column:
     unpunctuated = f("stop_share") < 0.01
     scrambled = (f("inner_share") > 0.025) & (f("common_share") < 0.3) & ((f("caps_share") > 0.01) | (f("rough_share") > 0.1) | (f("stop_share") < 0.03))
     gibberish = (f("n_words") >= 12) & (f("common_share") < 0.06) & unpunctuated & (f("rough_share") > 0.2)
-    heap = (f("n_words") >= 30) & (f("common_share") < 0.06) & unpunctuated & ((f("n_distinct") <= 2 * F.sqrt(f("n_words"))) | ((f("n_words") <= 100) & (f("distinct_share") <= 0.3)))
+    few = (f("n_distinct") <= 2 * F.sqrt(f("n_words"))) | (f("distinct_share") <= F.when(f("n_words") < 40, 0.55).when(f("n_words") < 100, 0.4).otherwise(0.25))
+    heap = (f("n_words") >= 16) & (f("n_words") <= 1000) & (f("common_share") < 0.06) & unpunctuated & few
+    heap = heap | ((f("n_words") > 1000) & (f("common_share") < 0.06) & unpunctuated & (f("n_distinct") <= 2 * F.sqrt(f("n_words"))))
     unreadable = spaced & ((f("mean_word") > 15) | (f("torn_share") > 0.15) | scrambled | gibberish | heap)
     return (
         F.when(f("n_words") == 0, None)
