@@ -74,12 +74,15 @@ def select(values: DataFrame, keys: list[str], quantiles: tuple[float, ...] = QU
         if shift == 0:
             break
         followed = at.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col("prefix").alias("__r_prefix")).distinct()
+        # One row per group and wanted rank: broadcast while known to be small, salted copies beyond.
+        followed = stage.write(followed, "followed")
         under = left.withColumn("prefix", F.shiftright("u", shift))
         # The key of the join is hashed with its nulls, then compared null-safe.
         both = salted_join(
             under.withColumn("__hash", F.xxhash64(*keys, "prefix")), followed.withColumn("__hash", F.xxhash64(*[f"__r_{k}" for k in keys], "__r_prefix")), ["__hash"], [F.col("u")]
         ).filter(_same([*keys, "prefix"]))
-        left = stage.write(both.select(*keys, "u"), "keys")
+        old, left = left, stage.write(both.select(*keys, "u"), "keys")
+        stage.drop(old)
         shift -= DIGIT
         hist = left.groupBy(*keys, F.shiftright("u", shift + DIGIT).alias("prefix"), F.shiftright("u", shift).alias("digit")).agg(F.count("*").alias("n"))
         wanted = at.groupBy(*keys, "total", "prefix").agg(F.collect_list(F.struct("q", F.col("left").alias("rank"))).alias("wanted"))
