@@ -36,6 +36,10 @@ ALIASES = {
     "RefContigID": ["ReferenceID"],
 }
 
+# Codings of values that files use beside the plain ones, compared as written.
+PLUS = ["+", "1", "+1", "F", "fwd", "forward", "plus"]
+MINUS = ["-", "-1", "R", "rev", "reverse", "minus"]
+
 FORMATS = {"CMAP": CMAP, "XMAP": XMAP}
 
 

@@ -74,3 +74,19 @@ def test_empty_tables_and_nulls(spark):
     found = drift.changes(drift.file_schemas(f, l)).select("field", "change").collect()
     assert sorted(map(tuple, found)) == [("CMapId", "removed"), ("NumSites", "removed"), ("XmapEntryID", "added")]
     assert drift.changes(drift.file_schemas(f.limit(0), l.limit(0))).count() == 0
+
+
+def test_orientation_codes_and_the_record_of_steps(spark):
+    f, l = tables(spark, [(1, "s", "XMAP", 1), (2, "s", "XMAP", 2)], {
+        1: ["#h XmapEntryID\tOrientation", "#f int\tint", "1\t1", "2\t-1"],
+        2: ["#h XmapEntryID\tDirection\tNote", "#f int\tstring\tstring", "3\tF\tx", "4\trev\ty"],
+    })
+    schemas = drift.file_schemas(f, l)
+    assert [r.Orientation for r in drift.conformed(schemas, l, "XMAP").orderBy("XmapEntryID").collect()] == ["+", "-", "+", "-"]
+    steps = [(r.file_id, r.version, r.action, r.field, r.source, r.target) for r in drift.applied(schemas).filter("action <> 'default'").orderBy("file_id", "step_no").collect()]
+    assert steps == [
+        (1, 1, "cast", "Orientation", "int", "string"), (1, 1, "cast", "XmapEntryID", "int", "long"),
+        (2, 2, "rename", "Orientation", "Direction", "Orientation"), (2, 2, "cast", "Orientation", "string", "string"), (2, 2, "cast", "XmapEntryID", "int", "long"), (2, 2, "keep", "Note", "string", "extras"),
+    ]
+    moved = [(r.from_version, r.to_version, r.step_no, r.action, r.field) for r in drift.migrations(schemas).orderBy("step_no").collect()]
+    assert moved == [(1, 2, 1, "add", "Note"), (1, 2, 2, "rename", "Orientation"), (1, 2, 3, "cast", "Orientation")]
