@@ -13,8 +13,9 @@ LINK = ["ctg1", "ctg2", "end1", "end2"]
 
 
 def plausible(evidence: DataFrame, least_labels: int = 5, most_labels: int | None = None, farthest: int = 1_000_000) -> DataFrame:
-    """Evidence within the distance and the label counts."""
-    kept = evidence.filter((F.abs("distance") <= farthest) & (F.col("minlabels") >= least_labels))
+    """Evidence of a molecule that meets its two contigs in opposite orientations (else no distance is defined),
+    within the distance and the label counts."""
+    kept = evidence.filter((F.col("ori1") != F.col("ori2")) & (F.abs("distance") <= farthest) & (F.col("minlabels") >= least_labels))
     return kept if most_labels is None else kept.filter(F.col("minlabels") <= most_labels)
 
 

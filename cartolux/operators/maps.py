@@ -104,6 +104,14 @@ def supported(paint: DataFrame, overhang: int) -> DataFrame:
     return paint.withColumn("support", (F.min("partner").over(w) == F.max("partner").over(w)))
 
 
+def alternatives(paint: DataFrame, sites: DataFrame, overhang: int) -> DataFrame:
+    """map_id, pos, alt for every label: the partner that it and ``overhang`` labels on either side are all painted
+    with, -1 where they are not of one partner or of none."""
+    every = sites.join(paint, ["map_id", "pos"], "left").withColumn("partner", F.coalesce("partner", F.lit(-1).cast("long")))
+    w = Window.partitionBy("map_id").orderBy("pos").rowsBetween(-overhang, overhang)
+    return every.select("map_id", "pos", F.when(F.min("partner").over(w) == F.max("partner").over(w), F.col("partner")).otherwise(-1).alias("alt"))
+
+
 def settled(ref_support: Column, qry_support: Column, ref_status: Column, qry_status: Column) -> tuple[Column, Column]:
     """Both statuses of a conflict after alternative support is known: both supported, ignore it; one
     supported, the molecules' verdict on the query decides; none, as they were."""

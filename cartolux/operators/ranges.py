@@ -46,3 +46,23 @@ def counted_beside(points: DataFrame, ranges: DataFrame, keys: list[str], at: st
     found = places.select(*keys, "rid", F.col("e.at").alias("_at"), F.col("e.side").alias("side")).join(summed, [*keys, "_at"])
     sides = found.groupBy("rid").agg(F.max(F.when(F.col("side") == "L", F.col("_before"))).alias("n_left"), F.max(F.when(F.col("side") == "R", F.col("total") - F.col("_before"))).alias("n_right"))
     return ranges.join(sides, "rid")
+
+
+def at_or_before(points: DataFrame, probes: DataFrame, payload: list[str], block: int = 1 << 20) -> DataFrame:
+    """Adds to ``probes`` (map_id, at, and whatever else) ``found``: a struct of pos and ``payload`` of the nearest
+    point (map_id, pos, unique) at or before ``at``, null if there is none. One running maximum over both, in
+    two levels, so a hot map is spread over its blocks."""
+    from pyspark.sql import Window
+
+    seen = F.struct("pos", *payload)
+    kind = points.select(seen.alias("s")).schema["s"].dataType
+    row = F.struct(*probes.columns)
+    both = points.select("map_id", F.col("pos").alias("at"), seen.alias("seen"), F.lit(None).cast(probes.select(row.alias("r")).schema["r"].dataType).alias("probe")).unionByName(
+        probes.select("map_id", "at", F.lit(None).cast(kind).alias("seen"), row.alias("probe"))
+    )
+    both = both.withColumn("_b", F.floor(F.col("at") / block))
+    tops = both.groupBy("map_id", "_b").agg(F.max("seen").alias("top"))
+    tops = tops.withColumn("carry", F.max("top").over(Window.partitionBy("map_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).drop("top")
+    w = Window.partitionBy("map_id", "_b").orderBy("at", F.col("probe").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.join(tops, ["map_id", "_b"]).withColumn("found", F.coalesce(F.max("seen").over(w), "carry"))
+    return found.filter("probe IS NOT NULL").select("probe.*", "found")

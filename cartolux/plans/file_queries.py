@@ -98,12 +98,12 @@ def w12_fasta_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(sql("seqs hits", """
-u AS (SELECT DISTINCT 'seq_' || (qry_id % 1000) AS name FROM hits)
+u AS (SELECT DISTINCT 'seq_' || qry_id AS name FROM hits)
 SELECT CASE WHEN length(seq) < 300 THEN 'small' WHEN length(seq) > 3000 THEN 'large' ELSE 'fit' END AS class, u.name IS NOT NULL AS used, count(*) AS n, sum(length(seq))::BIGINT AS bases FROM seqs s LEFT JOIN u ON u.name = 'seq_' || s.seq_id GROUP BY ALL"""))
 def w13_split_sequences(spark: SparkSession, d: str) -> DataFrame:
     """Sequences by use and size, written into one folder per class and counted."""
     s = I.sequences(spark, d).select(F.concat(F.lit("seq_"), "seq_id").alias("name"), "seq")
-    used = I.hits(spark, d).select(F.concat(F.lit("seq_"), F.col("qry_id") % 1000).alias("name"))
+    used = I.hits(spark, d).select(F.concat(F.lit("seq_"), "qry_id").alias("name"))
     classed = X.split_by_use(s, used, 300, 3000)
     W.write_split_fasta(classed, _folder(spark, "split"))
     return classed.groupBy("class", "used").agg(F.count("*").alias("n"), F.sum(F.length("seq")).alias("bases"))
@@ -235,9 +235,12 @@ def o5_ranked_paths(spark: SparkSession, d: str) -> DataFrame:
     return ranked_paths(x22_layout(spark, d))
 
 
-@query(sql("seqs", """SELECT n, chr(((n - 1) % 26 + 65)::INT) AS last FROM (SELECT DISTINCT length(seq) AS n FROM seqs) WHERE n > 0"""))
+@query(sql("maps", """
+r AS (SELECT map_id, row_number() OVER (ORDER BY map_id) AS round FROM (SELECT DISTINCT map_id FROM maps)), z AS (SELECT round, (round - 1) AS a, (round - 27) AS b, (round - 703) AS c, (round - 18279) AS e FROM r)
+SELECT round, CASE WHEN round <= 26 THEN chr((65 + a)::INT) WHEN round <= 702 THEN chr((65 + b // 26)::INT) || chr((65 + b % 26)::INT) WHEN round <= 18278 THEN chr((65 + c // 676)::INT) || chr((65 + c // 26 % 26)::INT) || chr((65 + c % 26)::INT)
+  ELSE chr((65 + e // 17576)::INT) || chr((65 + e // 676 % 26)::INT) || chr((65 + e // 26 % 26)::INT) || chr((65 + e % 26)::INT) END AS name FROM z"""))
 def w9_round_letters(spark: SparkSession, d: str) -> DataFrame:
-    """The last letter of the name of a merge round."""
-    letters = F.create_map(*[F.lit(x) for i in range(26) for x in (i, W.round_letters(i + 1))])
-    n = I.sequences(spark, d).select(F.length("seq").alias("n")).filter("n > 0").distinct()
-    return n.select("n", letters[(F.col("n") - 1) % 26].alias("last"))
+    """The names of merge rounds, one round a map (W9): A to Z, AA, AB and so on."""
+    from ..operators.hits import renumbered
+
+    return renumbered(I.maps(spark, d).select("map_id").distinct(), [F.col("map_id")], "round").select("round", W.round_name(F.col("round")).alias("name"))

@@ -10,7 +10,7 @@ from ..operators import evidence as E
 from ..operators import graph as G
 from ..operators import hits as H
 from ..operators import prefix
-from ..runtime import table
+from ..runtime import salted_join, table
 from . import inputs as I
 from .inputs import sql
 
@@ -61,12 +61,6 @@ def proj9_glue_ends(spark: SparkSession, d: str) -> DataFrame:
     return G.ends(I.glues(spark, d)).select("glue_id", "ref_x", "ref_y", "first_x", "first_y", "second_x", "second_y")
 
 
-@query(sql("gl", _ENDS + """ SELECT glue_id, ref_x, ref_y FROM e WHERE (abs(first_x - first_y) > 500000 AND abs(first_x - first_y) > 0.1 * overlap) OR (abs(second_x - second_y) > 500000 AND abs(second_x - second_y) > 0.1 * overlap)"""))
-def f6_outlier_glues(spark: SparkSession, d: str) -> DataFrame:
-    """Glues with an end 50 kb and a tenth of the overlap off the line of slope one."""
-    return G.outliers(G.ends(I.glues(spark, d)), F.lit(1), F.lit(0), 500000, 0.1).select("glue_id", "ref_x", "ref_y")
-
-
 @query(sql("gl", "SELECT glue_id, ref_x, ref_y FROM gl QUALIFY count(*) OVER (PARTITION BY ref_x, ref_y) >= 2"))
 def f7_repeated_glues(spark: SparkSession, d: str) -> DataFrame:
     """Glues of pairs with two glues or more."""
@@ -96,6 +90,16 @@ def a10_fitted_edges(spark: SparkSession, d: str) -> DataFrame:
     return f.select("ref_x", "ref_y", "nglues", "overlap", F.floor(F.col("slope") * 1000000 + 0.5).alias("slope6"), F.floor(F.col("intercept") + 0.5).alias("intercept"), "glues")
 
 
+@query(sql("gl", _FIT + ", " + _ENDS + """, x AS (SELECT e.*, abs(first_x * slope + intercept - first_y) AS one, abs(second_x * slope + intercept - second_y) AS two FROM e JOIN fit ON fit.ref_x = e.ref_x AND fit.ref_y = e.ref_y)
+SELECT glue_id, ref_x, ref_y FROM x WHERE (one > 500000 AND one / overlap > 0.1) OR (two > 500000 AND two / overlap > 0.1)"""))
+def f6_outlier_glues(spark: SparkSession, d: str) -> DataFrame:
+    """Glues with an end 50 kb and a tenth of the overlap off the fitted line of their pair."""
+    g = I.glues(spark, d)
+    lines = G.fitted(g).select("ref_x", "ref_y", "slope", "intercept")
+    both = salted_join(G.ends(g), lines, ["ref_x", "ref_y"], [F.col("glue_id")])
+    return G.outliers(both, F.col("slope"), F.col("intercept"), 500000, 0.1).select("glue_id", "ref_x", "ref_y")
+
+
 @query("""SELECT type, id, row_number() OVER (ORDER BY type, id) AS node FROM (SELECT DISTINCT type1 AS type, id1 AS id FROM edges UNION SELECT DISTINCT type2, id2 FROM edges) WHERE id IS NOT NULL AND type IS NOT NULL""")
 def x15_numbered_nodes(spark: SparkSession, d: str) -> DataFrame:
     """Nodes of all types numbered densely."""
@@ -143,9 +147,9 @@ def a16_distance_stats(spark: SparkSession, d: str) -> DataFrame:
     return s.select(*E.LINK, "n", F.floor(F.col("mean") * 1000 + 0.5).alias("mean3"), F.floor(F.col("std") * 1000 + 0.5).alias("std3"))
 
 
-@query(sql("evid", "SELECT no, ctg1, ctg2, end1, end2, distance FROM evid WHERE abs(distance) <= 1000000 AND minlabels >= 5 AND minlabels <= 30"))
+@query(sql("evid", "SELECT no, ctg1, ctg2, end1, end2, distance FROM evid WHERE ori1 <> ori2 AND abs(distance) <= 1000000 AND minlabels >= 5 AND minlabels <= 30"))
 def f14_plausible_evidence(spark: SparkSession, d: str) -> DataFrame:
-    """Evidence within a million bp and the label counts."""
+    """Evidence of opposite orientations within a million bp and the label counts."""
     return E.plausible(I.evidence(spark, d), 5, 30).select("no", *E.LINK, "distance")
 
 

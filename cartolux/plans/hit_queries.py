@@ -218,11 +218,32 @@ def j2_overhang_labels(spark: SparkSession, d: str) -> DataFrame:
     return _overhangs(spark, d)
 
 
-@query(sql("labels hits", _OVERHANG + " SELECT entry_id, aln_set, ref_id, CASE WHEN n_left > 5 THEN 1 ELSE 0 END AS left_overhang, CASE WHEN n_right > 5 THEN 1 ELSE 0 END AS right_overhang FROM cnt WHERE conf >= 1100 AND (n_left > 5 OR n_right > 5)"))
+STICKY = _OVERHANG + """,
+q AS (SELECT entry_id, aln_set, qry_id, ori, CASE WHEN ori = '+' THEN qs ELSE qe END - 200 AS lo, CASE WHEN ori = '+' THEN qe ELSE qs END + 200 AS hi FROM hits),
+ql_ AS (SELECT q.entry_id, q.aln_set, count(p.pos) AS n FROM q LEFT JOIN pts p ON p.map_id = q.qry_id AND p.pos < q.lo GROUP BY 1, 2),
+qr_ AS (SELECT q.entry_id, q.aln_set, count(p.pos) AS n FROM q LEFT JOIN pts p ON p.map_id = q.qry_id AND p.pos > q.hi GROUP BY 1, 2),
+sides AS (SELECT h.*, n_left > 5 AND CASE WHEN h.ori = '+' THEN a.n ELSE b.n END > 5 AS l, n_right > 5 AND CASE WHEN h.ori = '+' THEN b.n ELSE a.n END > 5 AS r
+  FROM hits h JOIN cnt USING (entry_id, aln_set) JOIN ql_ a USING (entry_id, aln_set) JOIN qr_ b USING (entry_id, aln_set)),
+sticky AS (SELECT entry_id, aln_set, ref_id, qry_id, ori, CASE WHEN l THEN rs ELSE -1 END AS left_ref, CASE WHEN l THEN qs ELSE -1 END AS left_qry, CASE WHEN r THEN re ELSE -1 END AS right_ref, CASE WHEN r THEN qe ELSE -1 END AS right_qry
+  FROM sides WHERE conf >= 1100 AND (l OR r))"""
+
+
+@query(sql("labels hits", STICKY + " SELECT * FROM sticky"))
 def f5_sticky_hits(spark: SparkSession, d: str) -> DataFrame:
-    """Confident hits with more than five overhanging labels on a side of the reference."""
-    o = _overhangs(spark, d).filter("conf >= 1100 AND (n_left > 5 OR n_right > 5)")
-    return o.select("entry_id", "aln_set", "ref_id", F.when(F.col("n_left") > 5, 1).otherwise(0).alias("left_overhang"), F.when(F.col("n_right") > 5, 1).otherwise(0).alias("right_overhang"))
+    """Conflicts (F5, W7): confident hits with more than five overhanging labels of both maps on the same side; the
+    places of both where the sides part, -1 where they do not. A turned query's left is its far end."""
+    h = I.hits(spark, d)
+    points = I.labels(spark, d).select("map_id", "pos").distinct()
+    plus = F.col("ori") == "+"
+    rid = F.struct("entry_id", "aln_set")
+    q = h.select(F.col("qry_id").alias("map_id"), (F.when(plus, F.col("qs")).otherwise(F.col("qe")) - 200).alias("lo"), (F.when(plus, F.col("qe")).otherwise(F.col("qs")) + 200).alias("hi"), rid.alias("rid"))
+    q = ranges.counted_beside(points, q, ["map_id"], "pos", "lo", "hi", BIN).select("rid.entry_id", "rid.aln_set", F.col("n_left").alias("q_low"), F.col("n_right").alias("q_high"))
+    r = _overhangs(spark, d).filter("conf >= 1100 AND (n_left > 5 OR n_right > 5)").select("entry_id", "aln_set", "n_left", "n_right")
+    both = h.join(r, ["entry_id", "aln_set"]).join(q, ["entry_id", "aln_set"])
+    left = (F.col("n_left") > 5) & (F.when(plus, F.col("q_low")).otherwise(F.col("q_high")) > 5)
+    right = (F.col("n_right") > 5) & (F.when(plus, F.col("q_high")).otherwise(F.col("q_low")) > 5)
+    at = lambda test, c: F.when(test, F.col(c)).otherwise(-1)
+    return both.filter(left | right).select("entry_id", "aln_set", "ref_id", "qry_id", "ori", at(left, "rs").alias("left_ref"), at(left, "qs").alias("left_qry"), at(right, "re").alias("right_ref"), at(right, "qe").alias("right_qry"))
 
 
 @query(sql("labels hits", """
@@ -316,13 +337,13 @@ def u4_common_ids(spark: SparkSession, d: str) -> DataFrame:
     return h.filter("channel = 1").select("qry_id").intersect(h.filter("channel = 2").select("qry_id"))
 
 
-@query(sql("maps", """
-u AS (SELECT map_id, len, 1 AS src FROM maps WHERE map_set LIKE 'NGS%' UNION ALL SELECT map_id, len + 1, 2 FROM maps WHERE map_id % 3 = 0)
+@query(sql("maps hits", """
+u AS (SELECT map_id, len, 1 AS src FROM maps UNION ALL SELECT ref_id, max(rl), 2 FROM hits GROUP BY ref_id)
 SELECT map_id, max_by(len, src) AS len FROM u GROUP BY 1"""))
 def u1_override_union(spark: SparkSession, d: str) -> DataFrame:
-    """Union of two map sets in which the second overrides the first."""
-    m = I.maps(spark, d)
-    both = m.filter("map_set LIKE 'NGS%'").select("map_id", "len", F.lit(1).alias("src")).union(m.filter("map_id % 3 = 0").select("map_id", F.col("len") + 1, F.lit(2)))
+    """Union of the maps and of those that the hits state as references, whose lengths override."""
+    named = I.hits(spark, d).groupBy("ref_id").agg(F.max("rl"))
+    both = I.maps(spark, d).select("map_id", "len", F.lit(1).alias("src")).union(named.select("ref_id", "max(rl)", F.lit(2)))
     return both.groupBy("map_id").agg(F.max_by("len", "src").alias("len"))
 
 

@@ -74,10 +74,11 @@ def sequences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def evidence(spark: SparkSession, d: str) -> DataFrame:
-    """Evidence rows over the event table: two contigs, their ends, a molecule and a distance."""
+    """Evidence rows over the event table: two contigs, their ends, orientations, a molecule and a distance."""
     return table(spark, d, "events").selectExpr(
         "event_id AS no", "user_id % 20 AS ctg1", "user_id % 7 AS ctg2", "CASE WHEN event_type IN ('click', 'view') THEN '5' ELSE '3' END AS end1",
         "CASE WHEN event_id % 2 = 0 THEN '5' ELSE '3' END AS end2", "user_id AS mol", "CAST(event_id % 40 AS INT) AS minlabels", "CAST(floor(value * 100) AS BIGINT) AS distance",
+        "CASE WHEN event_type IN ('click', 'purchase') THEN '+' ELSE '-' END AS ori1", "CASE WHEN user_id % 2 = 0 THEN '+' ELSE '-' END AS ori2",
     )
 
 
@@ -88,7 +89,7 @@ CTES = {
     "gl": f"gl AS (SELECT DISTINCT {', '.join(_GLUES)} FROM glues WHERE {_GLUES_WHERE})",
     "ed": f"ed AS (SELECT a, b, max(CAST(round(overlap * 10) AS BIGINT)) AS weight FROM (SELECT {', '.join(_EDGES)} FROM edges WHERE {_EDGES_WHERE}) GROUP BY 1, 2)",
     "seqs": f"seqs AS (SELECT doc_id AS seq_id, regexp_replace(translate(text, '{_FROM}', '{_TO}'), '[^ACGT]', 'N', 'g') AS seq FROM documents WHERE text IS NOT NULL AND text <> '')",
-    "evid": "evid AS (SELECT event_id AS no, user_id % 20 AS ctg1, user_id % 7 AS ctg2, CASE WHEN event_type IN ('click', 'view') THEN '5' ELSE '3' END AS end1, CASE WHEN event_id % 2 = 0 THEN '5' ELSE '3' END AS end2, user_id AS mol, CAST(event_id % 40 AS INT) AS minlabels, CAST(floor(value * 100) AS BIGINT) AS distance FROM events)",
+    "evid": "evid AS (SELECT event_id AS no, user_id % 20 AS ctg1, user_id % 7 AS ctg2, CASE WHEN event_type IN ('click', 'view') THEN '5' ELSE '3' END AS end1, CASE WHEN event_id % 2 = 0 THEN '5' ELSE '3' END AS end2, user_id AS mol, CAST(event_id % 40 AS INT) AS minlabels, CAST(floor(value * 100) AS BIGINT) AS distance, CASE WHEN event_type IN ('click', 'purchase') THEN '+' ELSE '-' END AS ori1, CASE WHEN user_id % 2 = 0 THEN '+' ELSE '-' END AS ori2 FROM events)",
 }
 
 

@@ -11,6 +11,7 @@ from ..operators import maps as M
 from ..runtime import table
 from . import inputs as I
 from .core_problems import ORACLES as CORE
+from .hit_queries import STICKY
 from .inputs import sql
 
 QUERIES, ORACLES = {}, {}
@@ -169,17 +170,50 @@ def x10_painted_labels(spark: SparkSession, d: str) -> DataFrame:
     return M.supported(M.painted(I.hits(spark, d), sites, BIN), 10)
 
 
-@query(f"""
-WITH c AS ({CORE['p4_valid']}),
-s AS (SELECT file_id, line_no, "xId" % 2 = 0 AS rsup, "qryId" % 3 = 0 AS qsup, "refLeftBkptStatus" AS r, "qryLeftBkptStatus" AS q FROM c)
-SELECT file_id, line_no, CASE WHEN rsup AND qsup THEN 'okay' WHEN qsup THEN CASE WHEN q = 'okay' THEN 'cut' ELSE 'okay' END WHEN rsup THEN 'okay' ELSE r END AS ref_status,
-  CASE WHEN rsup AND qsup THEN 'okay' WHEN qsup THEN 'okay' WHEN rsup THEN CASE WHEN q = 'okay' THEN 'okay' ELSE 'cut' END ELSE q END AS qry_status FROM s WHERE rsup IS NOT NULL AND qsup IS NOT NULL""")
+_SETTLE = STICKY + """,
+side AS (SELECT entry_id, aln_set, ref_id, qry_id, 'L' AS side, left_ref AS rb, left_qry AS qb FROM sticky WHERE left_ref <> -1 UNION ALL SELECT entry_id, aln_set, ref_id, qry_id, 'R', right_ref, right_qry FROM sticky WHERE right_ref <> -1),
+near AS (SELECT s.entry_id, s.aln_set, s.side, min(l.coverage) < 100 OR min(l.quality) < 3500 AS weak FROM side s JOIN labels l ON l.map_id = s.qry_id AND l.pos BETWEEN s.qb - 100000 AND s.qb + 100000 GROUP BY ALL),
+flagged AS (SELECT s.*, CASE WHEN coalesce(weak, false) THEN 'okay' ELSE 'cut' END AS r_was, CASE WHEN coalesce(weak, false) THEN 'cut' ELSE 'okay' END AS q_was FROM side s LEFT JOIN near USING (entry_id, aln_set, side)),
+cover AS (SELECT ref_id AS map_id, rs AS lo, re AS hi, qry_id AS partner, conf, entry_id, 'r' AS role FROM hits UNION ALL SELECT qry_id, least(qs, qe), greatest(qs, qe), ref_id, conf, entry_id, 'q' FROM hits),
+paint2 AS (SELECT c.role, p.map_id, p.pos, arg_max(partner, {'c': conf, 'e': entry_id, 'q': partner}) AS partner FROM pts p JOIN cover c ON c.map_id = p.map_id AND p.pos BETWEEN c.lo AND c.hi GROUP BY ALL),
+roles(role) AS (VALUES ('r'), ('q')),
+every AS (SELECT roles.role, p.map_id, p.pos, coalesce(partner, -1) AS partner FROM pts p CROSS JOIN roles LEFT JOIN paint2 t ON t.role = roles.role AND t.map_id = p.map_id AND t.pos = p.pos),
+alt AS (SELECT role, map_id, pos, CASE WHEN min(partner) OVER w = max(partner) OVER w THEN partner ELSE -1 END AS alt FROM every WINDOW w AS (PARTITION BY role, map_id ORDER BY pos ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING)),
+ra AS (SELECT f.*, coalesce(a.alt, -1) NOT IN (-1, f.qry_id) AS rsup FROM flagged f ASOF LEFT JOIN (SELECT * FROM alt WHERE role = 'r') a ON a.map_id = f.ref_id AND a.pos <= f.rb),
+qa AS (SELECT f.*, coalesce(a.alt, -1) NOT IN (-1, f.ref_id) AS qsup FROM ra f ASOF LEFT JOIN (SELECT * FROM alt WHERE role = 'q') a ON a.map_id = f.qry_id AND a.pos <= f.qb)
+SELECT entry_id, aln_set, side, rsup AS ref_support, qsup AS qry_support, CASE WHEN rsup AND qsup THEN 'okay' WHEN qsup THEN CASE WHEN q_was = 'okay' THEN 'cut' ELSE 'okay' END WHEN rsup THEN 'okay' ELSE r_was END AS ref_status,
+  CASE WHEN qsup THEN 'okay' WHEN rsup THEN CASE WHEN q_was = 'okay' THEN 'okay' ELSE 'cut' END ELSE q_was END AS qry_status FROM qa"""
+
+
+@query(sql("labels hits", _SETTLE))
 def x10_settled_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    """The four cases of alternative support applied to conflict rows (X10, W7); support is taken from the ids
-    here, as the conflict tables do not refer to the given hits."""
-    c = malformed.accepted(table(spark, d, "conflict_line")).filter("xId IS NOT NULL AND qryId IS NOT NULL")
-    ref, qry = M.settled(F.col("xId") % 2 == 0, F.col("qryId") % 3 == 0, F.col("refLeftBkptStatus"), F.col("qryLeftBkptStatus"))
-    return c.select("file_id", "line_no", ref.alias("ref_status"), qry.alias("qry_status"))
+    """The sides of all conflicts decided (X10, W7): the query is at fault where labels within 10 kb of its
+    breakpoint have a coverage below 10 or a quality below 35, else the reference; then the four cases of
+    alternative support, which is one other partner painted on the label at the breakpoint and five around it."""
+    from ..runtime import Stage
+    from .hit_queries import f5_sticky_hits
+
+    h, labels = I.hits(spark, d), I.labels(spark, d)
+    sites = labels.select("map_id", "pos").distinct()
+    parts = F.array(*[F.struct(F.lit(n).alias("side"), F.col(f"{w}_ref").alias("rb"), F.col(f"{w}_qry").alias("qb")) for n, w in (("L", "left"), ("R", "right"))])
+    side = f5_sticky_hits(spark, d).select("entry_id", "aln_set", "ref_id", "qry_id", F.explode(parts).alias("p")).filter("p.rb <> -1").select("entry_id", "aln_set", "ref_id", "qry_id", "p.*")
+    side = Stage(spark).write(side, "conflicts")
+    keys = ["entry_id", "aln_set", "side"]
+    span = side.select(*keys, F.col("qry_id").alias("map_id"), (F.col("qb") - 100_000).alias("lo"), (F.col("qb") + 100_000).alias("hi"))
+    near = ranges.points_in_ranges(labels.select("map_id", "pos", "coverage", "quality"), span, ["map_id"], "pos", "lo", "hi", BIN).groupBy(*keys).agg(F.min("coverage").alias("c"), F.min("quality").alias("q"))
+    weak = F.coalesce((F.col("c") < 100) | (F.col("q") < 3500), F.lit(False))
+    flagged = side.join(near, keys, "left").select(*side.columns, F.when(weak, "okay").otherwise("cut").alias("r_was"), F.when(weak, "cut").otherwise("okay").alias("q_was"))
+
+    def supported(rows: DataFrame, hits: DataFrame, own: str, at: str, other: str, out: str) -> DataFrame:
+        alt = M.alternatives(M.painted(hits, sites, BIN), sites, 5)
+        probes = rows.withColumn("map_id", F.col(own)).withColumn("at", F.col(at))
+        found = ranges.at_or_before(alt, probes, ["alt"]).drop("map_id", "at")
+        return found.withColumn(out, ~F.coalesce(F.col("found.alt"), F.lit(-1)).isin(-1) & (F.col("found.alt") != F.col(other))).withColumn(out, F.coalesce(out, F.lit(False))).drop("found")
+
+    turned = h.select(F.col("qry_id").alias("ref_id"), F.least("qs", "qe").alias("rs"), F.greatest("qs", "qe").alias("re"), "conf", "entry_id", F.col("ref_id").alias("qry_id"))
+    both = supported(supported(flagged, h, "ref_id", "rb", "qry_id", "ref_support"), turned, "qry_id", "qb", "ref_id", "qry_support")
+    ref, qry = M.settled(F.col("ref_support"), F.col("qry_support"), F.col("r_was"), F.col("q_was"))
+    return both.select(*keys, "ref_support", "qry_support", ref.alias("ref_status"), qry.alias("qry_status"))
 
 
 @query(f"""
@@ -215,15 +249,24 @@ def w8_bed_windows(spark: SparkSession, d: str) -> DataFrame:
     return c.select(F.col("id").alias("chrom"), F.greatest(F.col("at") - 1000, F.lit(0)).alias("chrom_start"), (F.col("at") + 1000).alias("chrom_end"), F.concat(F.lit("cut_"), no).alias("name"), F.lit("255,0,0").alias("rgb"))
 
 
+_THREE = "CASE WHEN {0} = 0 THEN 0 ELSE sign({0}) * floor(abs({0}) / power(10, floor(log10(abs({0}))) - 2) + 0.5) * power(10, floor(log10(abs({0}))) - 2) END"
+
+
 @query(f"""
-WITH c AS ({CORE['p4_valid']}), k AS (SELECT "xId" AS x, "refId" AS r, "qryId" AS q, "refLeftBkpt" AS b FROM c WHERE "refLeftBkpt" > 0),
-s AS (SELECT x, r, q, floor(b / power(10, floor(log10(b)) - 2) + 0.5)::BIGINT AS digits, floor(log10(b))::BIGINT AS mag FROM k)
-SELECT digits, mag, count(*) AS n FROM s GROUP BY ALL""")
+WITH c AS (SELECT DISTINCT "xId" AS x, "refId" AS r, "qryId" AS q, "qryLeftBkpt" AS lb, "qryRightBkpt" AS rb FROM ({CORE['p4_valid']})),
+b AS (SELECT x, r, q, lb AS b FROM c WHERE lb <> -1 UNION SELECT x, r, q, rb FROM c WHERE rb <> -1),
+k AS (SELECT *, {_THREE.format('lb')} AS l3, {_THREE.format('rb')} AS r3 FROM c), m AS (SELECT *, {_THREE.format('b')} AS b3 FROM b)
+SELECT m.x, m.r, m.q, m.b, bool_or(l3 = b3) AS left_met, bool_or(r3 = b3) AS right_met, count(*) AS n FROM m JOIN k ON k.x = m.x AND k.r = m.r AND k.q = m.q GROUP BY ALL HAVING bool_or(l3 = b3) OR bool_or(r3 = b3)""")
 def j13_three_digit_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Breakpoints keyed by their first three digits, the tolerance of the status update."""
-    c = malformed.accepted(table(spark, d, "conflict_line")).filter("refLeftBkpt > 0").withColumn("mag", F.floor(F.log10("refLeftBkpt")))
-    digits = F.floor(F.col("refLeftBkpt") / F.pow(F.lit(10.0), F.col("mag") - 2) + 0.5)
-    return c.groupBy(digits.alias("digits"), "mag").agg(F.count("*").alias("n"))
+    """Query breakpoints joined to the conflicts of their three ids whose left or right breakpoint has the same
+    first three digits (J13): the tolerance is a rounding, so the composite key is an equi key."""
+    three = lambda c: F.when(F.col(c) == 0, 0.0).otherwise(F.signum(c) * F.floor(F.abs(c) / F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - 2) + 0.5) * F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - 2))
+    v = malformed.accepted(table(spark, d, "conflict_line"))
+    c = v.select(F.col("xId").alias("x"), F.col("refId").alias("r"), F.col("qryId").alias("q"), F.col("qryLeftBkpt").alias("lb"), F.col("qryRightBkpt").alias("rb")).distinct()
+    long = c.select("x", "r", "q", F.explode(F.array("lb", "rb")).alias("b")).filter("b <> -1").distinct()
+    both = long.withColumn("b3", three("b")).join(c.withColumn("l3", three("lb")).withColumn("r3", three("rb")), ["x", "r", "q"])
+    met = both.groupBy("x", "r", "q", "b").agg(F.bool_or(F.col("l3") == F.col("b3")).alias("left_met"), F.bool_or(F.col("r3") == F.col("b3")).alias("right_met"), F.count("*").alias("n"))
+    return met.filter("left_met OR right_met")
 
 
 @query(sql("hits", "SELECT aln_set, count(*) AS n, sum(abs(qe - qs)::DECIMAL(20,0) * (re - rs)::DECIMAL(20,0))::DOUBLE / sum(abs(qe - qs)::DECIMAL(20,0) * abs(qe - qs)::DECIMAL(20,0))::DOUBLE AS factor FROM hits GROUP BY 1 HAVING sum(abs(qe - qs)) > 0"))

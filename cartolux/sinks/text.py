@@ -103,6 +103,15 @@ def round_letters(n: int) -> str:
     return out
 
 
+def round_name(n: Column) -> Column:
+    """``round_letters`` of a column of numbers: digits of base 26 without a zero."""
+    digits = F.aggregate(
+        F.sequence(F.lit(1), F.lit(14)), F.struct(n.cast("long").alias("n"), F.lit("").alias("s")),
+        lambda a, _: F.when(a["n"] <= 0, a).otherwise(F.struct(F.floor((a["n"] - 1) / 26).alias("n"), F.concat(F.char((a["n"] - 1) % 26 + 65), a["s"]).alias("s"))),
+    )
+    return digits["s"]
+
+
 def fragments_xml(maps: DataFrame, hits: DataFrame) -> DataFrame:
     """Maps as fragments in kb and alignments as (index, left, right) triples, an XML element per row."""
     sizes = F.zip_with(F.concat("positions", F.array("length")), F.concat(F.array(F.lit(0.0)), "positions"), lambda a, b: decimals((a - b) / 1000, 3))
