@@ -31,12 +31,42 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return A.packed(l.filter("map_set LIKE 'NGS%'").select("map_id", "pos")), A.packed(l.filter("map_set LIKE 'BNG%'").select("map_id", "pos"))
 
 
+def _chained(spark: SparkSession, d: str, rule: str, *more: str) -> DataFrame:
+    out = A.chained(A.windows(I.hits(spark, d), I.labels(spark, d), 0, 1_000_000), rule)
+    return out.select("entry_id", "aln_set", "n_pairs", F.floor(F.col("cost") * 1000 + 0.5).alias("cost3"), "turned", "first_qry", "first_ref", "last_qry", "last_ref", *more)
+
+
 @query()
 def x3_realigned_hits(spark: SparkSession, d: str) -> DataFrame:
-    """Every hit aligned anew over the labels of its spans by this engine's own kernel, not X3's rules:
-    number of pairs, score, direction."""
-    out = A.realigned(I.hits(spark, d), I.labels(spark, d), 0, 1_000_000)
-    return out.select("entry_id", "aln_set", F.size("pairs").alias("n_pairs"), F.floor(F.col("score") * 1000 + 0.5).alias("score3"), "ori")
+    """Every hit aligned anew over the labels of its spans, in the better direction (X3): matches first, then cost,
+    under the limit on passed labels, with the rejections of two-sided mode."""
+    return _chained(spark, d, "whole")
+
+
+@query()
+def x4_cheapest_chains(spark: SparkSession, d: str) -> DataFrame:
+    """The chain of least cost over the labels of every hit, direction as given."""
+    return _chained(spark, d, "cheapest")
+
+
+@query()
+def x6_blockwise_chains(spark: SparkSession, d: str) -> DataFrame:
+    """Hits whose labels pair to nine tenths when taken in blocks."""
+    return _chained(spark, d, "blocks")
+
+
+@query()
+def x7_overlapping_ends(spark: SparkSession, d: str) -> DataFrame:
+    """The end of every hit's query on the beginning of its reference stretch, seeds of 50 labels of each."""
+    return _chained(spark, d, "ends")
+
+
+@query()
+def x8_molecule_ends(spark: SparkSession, d: str) -> DataFrame:
+    """Every hit's query as a contig on the reference stretch as a molecule: seeds of 14 labels of both ends, both
+    directions; the end that lies on it, its direction, and the part of the molecule left free (X8)."""
+    bp = [F.floor(F.col(c) * 10 + 0.5).cast("long").alias(c) for c in ("link_start", "link_mid", "link_end")]
+    return _chained(spark, d, "molecule", "end", "dir", *bp, "link_side")
 
 
 @query()
