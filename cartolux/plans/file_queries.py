@@ -13,7 +13,7 @@ from ..runtime import Stage, table
 from ..sinks import text as W
 from ..sources import text as R
 from . import inputs as I
-from .graph_queries import x22_layout
+from .graph_queries import FOREST, x22_layout
 from .inputs import sql
 from .pipeline import merged_sets, ranked_paths
 
@@ -229,7 +229,7 @@ def x13_merged_sets(spark: SparkSession, d: str) -> DataFrame:
     return merged_sets(l.filter("map_set = 'BNG_BSPQI'").drop("map_set"), l.filter("map_set = 'BNG_BSSSI'").drop("map_set"))
 
 
-@query()
+@query(FOREST + " SELECT path_id, n_nodes, row_number() OVER (ORDER BY n_nodes DESC, path_id) AS rank FROM (SELECT path_id, count(*) AS n_nodes FROM lay GROUP BY 1)")
 def o5_ranked_paths(spark: SparkSession, d: str) -> DataFrame:
     """Paths numbered by their number of nodes."""
     return ranked_paths(x22_layout(spark, d))

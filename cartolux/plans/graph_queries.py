@@ -116,25 +116,104 @@ def _affine(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query()
+#: The forest by its definition: an edge belongs to it unless edges before it (heavier, or as heavy and of smaller
+#: ids) link its ends already. Then every node by the path of forest edges from the smallest node.
+FOREST = """
+WITH RECURSIVE raw AS (
+  SELECT id1 AS a, id2 AS b, coalesce(CAST(round(overlap * 10) AS BIGINT), 0) AS weight, CASE WHEN slope < 0 THEN -1 ELSE 1 END AS sign, CAST(round(intercept * 10) AS BIGINT) AS shift
+  FROM edges WHERE id1 IS NOT NULL AND id2 IS NOT NULL AND id1 <> id2 AND slope IS NOT NULL AND intercept IS NOT NULL),
+flat AS (SELECT least(a, b) AS a, greatest(a, b) AS b, weight, sign, CASE WHEN a > b THEN -sign * shift ELSE shift END AS shift FROM raw),
+e AS (SELECT *, row_number() OVER (ORDER BY weight DESC, a, b) AS rk FROM (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY weight DESC, sign DESC, shift DESC) = 1)),
+adj AS (SELECT a AS node, b AS other, rk FROM e UNION ALL SELECT b, a, rk FROM e),
+reach(rk, node) AS (SELECT rk, a FROM e UNION SELECT r.rk, d.other FROM reach r JOIN adj d ON d.node = r.node AND d.rk < r.rk),
+forest AS (SELECT e.* FROM e WHERE NOT EXISTS (SELECT 1 FROM reach r WHERE r.rk = e.rk AND r.node = e.b)),
+low(node, root) AS (SELECT a, a FROM e UNION SELECT b, b FROM e UNION SELECT d.other, l.root FROM low l JOIN adj d ON d.node = l.node WHERE l.root < d.other),
+roots AS (SELECT node, min(root) AS root FROM low GROUP BY 1),
+both_ AS (SELECT a AS node, b AS other, sign, -sign * shift AS shift FROM forest UNION ALL SELECT b, a, sign, shift FROM forest),
+at_(node, root, sign, shift, prev) AS (
+  SELECT node, root, 1, 0::BIGINT, -1::BIGINT FROM roots WHERE node = root
+  UNION ALL SELECT f.other, p.root, p.sign * f.sign, p.sign * f.shift + p.shift, p.node FROM at_ p JOIN both_ f ON f.node = p.node WHERE f.other <> p.prev),
+kinds AS (SELECT node, max(CAST(round(len * 10) AS BIGINT)) AS len, min(type) AS type FROM (SELECT id1 AS node, length1 AS len, type1 AS type FROM edges UNION ALL SELECT id2, length2, type2 FROM edges) WHERE node IS NOT NULL GROUP BY 1),
+spans AS (SELECT a.root, a.node, a.sign, k.type, coalesce(k.len, 0) AS len, least(shift, sign * coalesce(k.len, 0) + shift) AS s, greatest(shift, sign * coalesce(k.len, 0) + shift) AS e FROM at_ a LEFT JOIN kinds k USING (node)),
+lay AS (SELECT root AS path_id, node AS node_id, type, CASE WHEN sign = 1 THEN '+' ELSE '-' END AS dir, (s - min(s) OVER (PARTITION BY root))::BIGINT AS start, (e - min(s) OVER (PARTITION BY root))::BIGINT AS "end",
+  CASE WHEN sign = 1 THEN 0 ELSE len END AS xstart, CASE WHEN sign = 1 THEN len ELSE 0 END AS xend, len AS xlength FROM spans)"""
+
+
+@query(FOREST + " SELECT a, b, weight FROM forest")
 def x16_spanning_forest(spark: SparkSession, d: str) -> DataFrame:
-    """The maximum spanning forest of the edges (X16, O3), checked against a sequential one in the tests."""
+    """The maximum spanning forest of the edges."""
     return G.spanning_layout(_affine(spark, d))[0]
 
 
-@query()
+@query(FOREST + ' SELECT path_id, node_id, node_id AS ori_id, type, start, "end", dir, xstart, xend, xlength FROM lay')
 def x22_layout(spark: SparkSession, d: str) -> DataFrame:
-    """Nodes placed on the axes of their paths along the forest."""
+    """Nodes placed on the axes of their paths along the forest, with their own coordinates at both ends (X22, D11);
+    the edge table numbers nodes of all types together, so a node's own id is its number."""
     e = table(spark, d, "edges")
-    one = e.select(F.col("id1").alias("node"), F.col("length1").alias("len")).union(e.select("id2", "length2")).filter("node IS NOT NULL AND len IS NOT NULL")
-    lengths = one.groupBy("node").agg(F.max(F.round(F.col("len") * 10)).cast("long").alias("len"))
-    return G.layout(_affine(spark, d), lengths)
+    one = e.select(F.col("id1").alias("node"), F.col("length1").alias("len"), F.col("type1").alias("type")).union(e.select("id2", "length2", "type2")).filter("node IS NOT NULL")
+    kinds = one.groupBy("node").agg(F.max(F.round(F.col("len") * 10)).cast("long").alias("len"), F.min("type").alias("type"))
+    placed = G.layout(_affine(spark, d), kinds.select("node", "len").filter("len IS NOT NULL"))
+    named = salted_join(placed, kinds.withColumnRenamed("node", "node_id"), ["node_id"], [F.col("path_id")], "left")
+    len_, plus = F.coalesce("len", F.lit(0)), F.col("dir") == "+"
+    return named.select(
+        "path_id", "node_id", F.col("node_id").alias("ori_id"), "type", "start", "end", "dir", F.when(plus, 0).otherwise(len_).alias("xstart"), F.when(plus, len_).otherwise(0).alias("xend"), len_.alias("xlength")
+    )
+
+
+@query(FOREST + """, r AS (SELECT *, max("end") OVER (PARTITION BY path_id ORDER BY start, "end" DESC, node_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM lay)
+SELECT path_id, node_id, dir, start, "end", start - reach AS gap FROM r""")
+def n6_path_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Gap or overlap of every node of a path to what lies before it."""
+    return G.path_gaps(x22_layout(spark, d).select("path_id", "node_id", "dir", "start", "end"))
+
+
+_ANCHORS = """
+s AS (SELECT glue_id, ref_x, ref_y, CASE WHEN ori_x = ori_y THEN '+' ELSE '-' END AS dir, least(first_x, second_x) AS x1, greatest(first_x, second_x) AS x2, least(first_y, second_y) AS y1, greatest(first_y, second_y) AS y2
+  FROM e JOIN (SELECT glue_id, ref_x, ref_y, ori_x, ori_y FROM gl) USING (glue_id, ref_x, ref_y)),
+k1 AS (SELECT * EXCLUDE (r) FROM (SELECT *, max(x2) OVER (PARTITION BY ref_x, ref_y ORDER BY x1, x2 DESC, glue_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM s) WHERE r IS NULL OR x2 > r),
+k2 AS (SELECT * EXCLUDE (r) FROM (SELECT *, max(y2) OVER (PARTITION BY ref_x, ref_y ORDER BY y1, y2 DESC, glue_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM k1) WHERE r IS NULL OR y2 > r),
+n AS (SELECT *, lag(x2) OVER x AS px, lead(x1) OVER x AS nx, lag(y2) OVER y AS py, lead(y1) OVER y AS ny, row_number() OVER x AS no FROM k2
+  WINDOW x AS (PARTITION BY ref_x, ref_y ORDER BY x1, x2 DESC, glue_id), y AS (PARTITION BY ref_x, ref_y ORDER BY y1, y2 DESC, glue_id))
+SELECT glue_id, ref_x, ref_y, no, dir, CASE WHEN px > x1 THEN floor((px + x1) / 2)::BIGINT ELSE x1 END AS start_x, CASE WHEN nx < x2 THEN floor((x2 + nx) / 2)::BIGINT ELSE x2 END AS end_x,
+  CASE WHEN py > y1 THEN floor((py + y1) / 2)::BIGINT ELSE y1 END AS start_y, CASE WHEN ny < y2 THEN floor((y2 + ny) / 2)::BIGINT ELSE y2 END AS end_y FROM n"""
+
+
+@query(sql("gl", _ENDS + "," + _ANCHORS))
+def x17_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """The glues of each pair of references as a chain of anchors: covered ones dropped, overlaps of neighbours cut at
+    their middle on both references (X17)."""
+    return G.anchors(G.ends(I.glues(spark, d)))
+
+
+@query(sql("gl", _ENDS + "," + _ANCHORS.rsplit("SELECT glue_id, ref_x", 1)[0] + """
+, a AS (SELECT ref_x, ref_y, no, CASE WHEN px > x1 THEN floor((px + x1) / 2)::BIGINT ELSE x1 END AS sx, CASE WHEN nx < x2 THEN floor((x2 + nx) / 2)::BIGINT ELSE x2 END AS ex,
+  CASE WHEN py > y1 THEN floor((py + y1) / 2)::BIGINT ELSE y1 END AS sy, CASE WHEN ny < y2 THEN floor((y2 + ny) / 2)::BIGINT ELSE y2 END AS ey, dir FROM n),
+g AS (SELECT ref_x, ref_y, no, dir, sx - lag(ex) OVER w AS gx, CASE WHEN dir = '+' THEN sy - lag(ey) OVER w ELSE lag(sy) OVER w - ey END AS gy FROM a WINDOW w AS (PARTITION BY ref_x, ref_y ORDER BY no))
+SELECT ref_x, ref_y, no, (gx + gy) / 2 AS gap FROM g WHERE gx IS NOT NULL"""))
+def proj17_anchor_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Distance of each anchor to the one before it, the mean over both references."""
+    from pyspark.sql import Window
 
+    from ..functions.scalars import shared_gap
 
-@query()
-def n6_path_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Gap or overlap of every node of a path to what lies before it."""
-    return G.path_gaps(x22_layout(spark, d))
+    w = Window.partitionBy("ref_x", "ref_y").orderBy("no")  # the anchors of one pair lie side by side on a map
+    plus = F.col("dir") == "+"
+    a = G.anchors(G.ends(I.glues(spark, d)))
+    ends = F.array(F.lag("end_x").over(w), F.when(plus, F.lag("end_y").over(w)).otherwise(F.col("end_y")))
+    starts = F.array(F.col("start_x"), F.when(plus, F.col("start_y")).otherwise(F.lag("start_y").over(w)))
+    return a.select("ref_x", "ref_y", "no", shared_gap(ends, starts).alias("gap"), F.lag("end_x").over(w).alias("_p")).filter("_p IS NOT NULL").drop("_p")
+
+
+@query(FOREST + """, v AS (SELECT path_id, node_id, sum(CASE WHEN dir = '+' THEN xlength ELSE -xlength END) OVER (PARTITION BY path_id) AS vote, dir, start, "end", max("end") OVER (PARTITION BY path_id) AS stop, count(*) OVER (PARTITION BY path_id) AS n FROM lay),
+w AS (SELECT path_id, row_number() OVER (ORDER BY n DESC, path_id) AS rank FROM (SELECT DISTINCT path_id, n FROM v))
+SELECT v.path_id, w.rank, node_id, CASE WHEN vote >= 0 THEN dir WHEN dir = '+' THEN '-' ELSE '+' END AS dir, CASE WHEN vote >= 0 THEN start ELSE stop - "end" END AS start, CASE WHEN vote >= 0 THEN "end" ELSE stop - start END AS "end" FROM v JOIN w USING (path_id)""")
+def x21_oriented_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Paths numbered by their nodes, turned round where most of their length is turned."""
+    from .pipeline import ranked_paths
+
+    lay = x22_layout(spark, d)
+    ranks = ranked_paths(lay.select("path_id", "node_id")).select("path_id", "rank")
+    return G.oriented(lay).join(ranks, "path_id")
 
 
 _STATS = "SELECT *, s / n AS mean, sqrt(greatest(n * ss - s * s, 0)) / n AS std FROM (SELECT ctg1, ctg2, end1, end2, count(*) AS n, sum(distance::HUGEINT)::DOUBLE AS s, sum(distance::HUGEINT * distance)::DOUBLE AS ss FROM {} GROUP BY ALL)"
