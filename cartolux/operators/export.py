@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.sequence import reverse_complement_column
 from ..runtime import salted_join
 from .hits import extended, outermost
+from .prefix import running_max
 
 PAD, LEAST = 13, 23
 GAPS = "entry_id long, ref_id long, qry_id long, prev_qry long, gap long, adjusted_gap long, embedded boolean"
@@ -38,11 +39,23 @@ def _walk(pdf: pd.DataFrame, unit: int) -> pd.DataFrame:
 def scaffold_gaps(hits: DataFrame, unit: int = 1) -> DataFrame:
     """GAPS of every hit against the current one of its scaffold.
 
-    Which hit is current depends on all before it, which no window expresses, so scaffolds are walked in
-    Arrow groups. Hits are the best ones of their queries, laid side by side on a scaffold: their number
-    is bounded by the scaffold's length, not by the data."""
+    Which hit is current depends on those before it, which no window expresses. But a hit that reaches, from its
+    extended start on and with its whole length, as far as any hit before it cannot be embedded in any of
+    them: it becomes the current one whatever went before. Such hits cut a scaffold into stretches that are
+    walked apart in Arrow groups; the last current hit of a stretch is then carried to the first of the next."""
+    order = ["rs", F.desc("re"), "entry_id"]
     wide = extended(hits).select("entry_id", "ref_id", "qry_id", "rs", "re", "ql", "ext_start", "ext_end")
-    return wide.groupBy("ref_id").applyInPandas(lambda pdf: _walk(pdf, unit), GAPS)
+    reach = running_max(wide, ["ref_id"], order, "rs", F.col("ext_end"), "_reach", own=False)
+    place = F.struct("rs", (-F.col("re")).alias("re"), "entry_id")
+    free = F.col("_reach").isNull() | (F.col("ext_start") + F.col("ql") - unit >= F.col("_reach"))
+    cut = running_max(reach, ["ref_id"], order, "rs", F.when(free, place), "_cut", own=True).drop("_reach")
+    walked = cut.groupBy("ref_id", "_cut").applyInPandas(lambda keys, pdf: _walk(pdf.drop(columns="_cut"), unit).assign(first=lambda x: x["prev_qry"].isna()), GAPS + ", first boolean")
+    rows = walked.join(cut.select("entry_id", "ref_id", "rs", "re", "ext_start", "ext_end", "_cut"), ["entry_id", "ref_id"])
+    last = rows.filter("NOT embedded").groupBy("ref_id", "_cut").agg(F.max_by(F.struct("qry_id", "re", "ext_end"), place).alias("_last"))
+    last = last.withColumn("_prev", F.lag("_last").over(Window.partitionBy("ref_id").orderBy("_cut"))).drop("_last")  # one row per stretch
+    both = rows.join(last, ["ref_id", "_cut"])
+    carried = {"prev_qry": F.col("_prev.qry_id"), "gap": F.col("rs") - F.col("_prev.re") - unit, "adjusted_gap": F.col("ext_start") - F.col("_prev.ext_end") - unit}
+    return both.select("entry_id", "ref_id", "qry_id", *[F.when(F.col("first"), v).otherwise(F.col(c)).alias(c) for c, v in carried.items()], "embedded")
 
 
 def padded(gap):

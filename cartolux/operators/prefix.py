@@ -6,7 +6,7 @@ and over the totals of blocks, so a group with a third of all rows is spread ove
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1 << 20
@@ -47,3 +47,13 @@ def median(df: DataFrame, keys: list[str], value: str, out: str = "median", bloc
     low = (F.col("_upto") >= F.floor((F.col("total") + 1) / 2))
     high = (F.col("_upto") >= F.floor(F.col("total") / 2) + 1)
     return summed.groupBy(*keys).agg(((F.min(F.when(low, F.col(value))) + F.min(F.when(high, F.col(value)))) / 2).alias(out))
+
+
+def running_max(rows: DataFrame, keys: list[str], order: list, at: str, value: Column, out: str, own: bool, block: int = 1 << 20) -> DataFrame:
+    """Adds ``out``: the largest ``value`` of the rows before each one (and of its own, if ``own``) in ``order``, whose
+    first column is the whole number ``at``. In two levels, blocks of ``at`` and within them, so a hot key is spread."""
+    marked = rows.withColumn("_v", value).withColumn("_b", F.floor(F.col(at) / block))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tops = marked.groupBy(*keys, "_b").agg(F.max("_v").alias("_top")).withColumn("_carry", F.max("_top").over(before)).drop("_top")
+    inner = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    return marked.join(tops, [*keys, "_b"]).withColumn(out, F.greatest("_carry", F.max("_v").over(inner))).drop("_v", "_b", "_carry")

@@ -9,6 +9,7 @@ from ..operators import align as A
 from ..operators import export as X
 from ..operators import hits as H
 from ..operators import maps as M
+from ..runtime import Stage
 from . import inputs as I
 from .graph_queries import x22_layout
 from .inputs import sql
@@ -126,7 +127,21 @@ def _best(spark: SparkSession, d: str) -> DataFrame:
     return H.best_per_query(h, ["qry_id"])
 
 
-@query()
+_WALK = _BP + """,
+x AS (SELECT *, rs - CASE WHEN ori = '+' THEN qs - 1 ELSE ql - qs END AS ext_start, re + CASE WHEN ori = '+' THEN ql - qe ELSE qe - 1 END AS ext_end, row_number() OVER (PARTITION BY ref_id ORDER BY rs, re DESC, entry_id) AS rn FROM best),
+walk(ref_id, rn, cur, prev, gap, adjusted_gap, embedded) AS (
+  SELECT ref_id, rn, rn, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, false FROM x WHERE rn = 1
+  UNION ALL SELECT n.ref_id, n.rn, CASE WHEN -(n.ext_start - c.ext_end - 1) > n.ql THEN w.cur ELSE n.rn END, c.qry_id, n.rs - c.re - 1, n.ext_start - c.ext_end - 1, -(n.ext_start - c.ext_end - 1) > n.ql
+  FROM walk w JOIN x n ON n.ref_id = w.ref_id AND n.rn = w.rn + 1 JOIN x c ON c.ref_id = w.ref_id AND c.rn = w.cur),
+g AS (SELECT x.*, w.prev AS prev_qry, w.gap, w.adjusted_gap, w.embedded FROM walk w JOIN x USING (ref_id, rn)),
+names AS (SELECT map_id AS id, map_set || '_' || map_id AS name FROM maps)"""
+
+
+def _recursive(names: str, body: str) -> str:
+    return sql(names, body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(_recursive("hits maps", _WALK + " SELECT entry_id, ref_id, qry_id, prev_qry, gap, adjusted_gap, embedded FROM g"))
 def f13_scaffold_gaps(spark: SparkSession, d: str) -> DataFrame:
     """Gaps between neighbours of each scaffold, with embedded queries marked."""
     return X.scaffold_gaps(_best(spark, d))
@@ -136,18 +151,27 @@ def _names(spark: SparkSession, d: str) -> DataFrame:
     return I.maps(spark, d).select(F.col("map_id").alias("id"), F.concat("map_set", F.lit("_"), "map_id").alias("name"))
 
 
-@query()
+@query(_recursive("hits maps", _WALK + """,
+k AS (SELECT g.*, coalesce(name, qry_id::VARCHAR) AS component, CASE WHEN adjusted_gap IS NULL THEN 0 WHEN adjusted_gap < 0 THEN 13 WHEN adjusted_gap < 23 THEN 23 ELSE adjusted_gap END AS pad FROM g LEFT JOIN names ON id = qry_id WHERE NOT embedded),
+o AS (SELECT *, sum(pad + ql) OVER (PARTITION BY ref_id ORDER BY rn) AS stop, row_number() OVER (PARTITION BY ref_id ORDER BY rn) AS no FROM k)
+SELECT 'Super-Scaffold_' || ref_id AS object, (stop - ql + 1)::BIGINT AS object_beg, stop::BIGINT AS object_end, 2 * no - 1 AS part, 'W' AS kind, component, '1' AS component_beg, ql::VARCHAR AS component_end, ori AS orientation FROM o
+UNION ALL SELECT 'Super-Scaffold_' || ref_id, (stop - ql + 1 - pad)::BIGINT, (stop - ql)::BIGINT, 2 * no - 2, 'N', pad::VARCHAR, 'scaffold', 'yes', 'map' FROM o WHERE pad > 0"""))
 def w11_agp(spark: SparkSession, d: str) -> DataFrame:
     """AGP rows of all scaffolds."""
-    h = _best(spark, d)
+    h = Stage(spark).write(_best(spark, d), "best")
     return X.agp(h, X.scaffold_gaps(h), _names(spark, d))
 
 
-@query()
+@query(_recursive("hits maps", _WALK + """,
+l AS (SELECT ref_id, qry_id, max(ql) AS ql, any_value(coalesce(name, qry_id::VARCHAR)) AS name FROM best LEFT JOIN names ON id = qry_id GROUP BY 1, 2),
+z AS (SELECT ref_id, arg_max(qry_id, {'a': rs, 'b': entry_id}) AS qry_id FROM g WHERE NOT embedded GROUP BY 1)
+SELECT a.name AS name1, b.name AS name2, g.ref_id, gap, adjusted_gap, a.ql AS len1, b.ql AS len2 FROM g JOIN l a ON a.ref_id = g.ref_id AND a.qry_id = prev_qry JOIN l b ON b.ref_id = g.ref_id AND b.qry_id = g.qry_id
+UNION ALL SELECT l.name, l.name, z.ref_id, 0, 0, l.ql, l.ql FROM z JOIN l ON l.ref_id = z.ref_id AND l.qry_id = z.qry_id"""))
 def w10_gap_report(spark: SparkSession, d: str) -> DataFrame:
     """The gap report, with a last row for every scaffold."""
-    h = _best(spark, d)
-    return X.gap_report(X.scaffold_gaps(h), h, _names(spark, d))
+    stage = Stage(spark)
+    h = stage.write(_best(spark, d), "best")
+    return X.gap_report(stage.write(X.scaffold_gaps(h), "gaps"), h, _names(spark, d))
 
 
 @query(sql("hits", _BP + " SELECT ref_id, min(rs) - 1 AS begin_gap, max(rl) - max(re) AS end_gap FROM best GROUP BY 1"))
