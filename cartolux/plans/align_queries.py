@@ -11,7 +11,7 @@ from ..operators import hits as H
 from ..operators import maps as M
 from ..runtime import Stage
 from . import inputs as I
-from .graph_queries import x22_layout
+from .graph_queries import FOREST, x22_layout
 from .inputs import sql
 
 QUERIES, ORACLES = {}, {}
@@ -102,9 +102,12 @@ def x14_filled_maps(spark: SparkSession, d: str) -> DataFrame:
     return A.filled_maps(I.labels(spark, d), _fillers(spark, d))
 
 
-@query()
+@query(FOREST + ", " + ", ".join(I.CTES[n] for n in ("labels",)) + """,
+ids AS (SELECT map_id, row_number() OVER (ORDER BY map_id) AS node FROM (SELECT DISTINCT map_id FROM labels)),
+put AS (SELECT path_id, node_id, channel, CASE WHEN dir = '+' THEN start + pos ELSE "end" - pos END AS pos, start, "end" FROM lay JOIN ids ON node = node_id JOIN labels USING (map_id))
+SELECT path_id, node_id, channel, pos - min(pos) OVER (PARTITION BY path_id) + 200 AS pos, CASE WHEN pos < start THEN 'prev' WHEN pos > "end" THEN 'post' ELSE 'core' END AS side FROM put""")
 def x23_merged_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of all maps of a path on one axis (X23): the layout's node ids count maps of the whole stage, so
+    """Labels of all maps of a path on one axis, before, within or behind their node's stretch (X23): the layout's node ids count maps of the whole stage, so
     maps take part by their dense number."""
     l = I.labels(spark, d).select("map_set", "map_id", "channel", "pos")
     numbered = H.renumbered(l.select("map_id").distinct(), [F.col("map_id")], "node")

@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..runtime import salted_join
 from ..schemas import FORMATS, spellings
 
 
@@ -52,7 +53,7 @@ def _records(spark: SparkSession, path: str | list[str], kind: str, keep: int |
     place = F.map_from_entries(F.array_distinct(F.transform("columns", lambda c, i: F.struct(F.coalesce(known[F.lower(F.regexp_replace(c, "[^A-Za-z0-9]", ""))], c), i))))
     heads = heads.select("file", place.alias("place"))
     data = text.filter(~F.col("line").startswith("#") & (F.trim("line") != "")).select("file", F.split("line", "\t").alias("cells"))
-    both = data.join(F.broadcast(heads), "file")  # one row per input file
+    both = salted_join(data, heads, ["file"], [F.col("cells")])  # one row per input file: broadcast while that is small
     return both.select("file", *[_typed(F.get("cells", F.element_at("place", F.lit(c))), t).alias(c) for c, t in FORMATS[kind].items()])
 
 
