@@ -26,6 +26,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -55,13 +56,17 @@ _ROW_MARKS = (" · ", " • ", " | ", " / ", " > ", " » ", " → ", " ~ ", " ::
 _TORN = re.compile(r"[^\W\d_][?#�@*$%&][^\W\d_]|^[?#�@*$%&][^\W\d_]")
 _INNER = re.compile(r"[^\W\d_][.,?!;:][^\W\d_]")
 _CAPS = re.compile(r"[^\W\d_A-ZÀ-ÞА-Я](?=[A-ZÀ-ÞА-Я])")
-_STOP = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0900-\u0dff\u0e31-\u0e4e\u1000-\u109f])[.!?…؟۔።։]+[\"'”’»)*_`]*(?:\s|$)|[。！？।॥]")
+_MARKS_ON = "\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0900-\u0dff\u0e31-\u0e4e\u1000-\u109f"
+#: The end of a sentence: a mark behind a letter (which may carry marks of its own) and before a blank, or a full
+#: stop of a script that sets none. The mark is looked for first, as letters are many.
+_STOP = re.compile(r"[.!?…؟۔።։](?:(?<=[^\W\d_].)|(?<=[" + _MARKS_ON + r"].))[.!?…؟۔።։]*[\"'”’»)*_`]*(?:\s|$)")
+_FULL_STOP = re.compile("[。！？।॥]")
 #: Words of the scripts whose vowels are known here, and runs of letters that no language forms often; l and
 #: r count as neither, as they make syllables in some.
 _KNOWN = re.compile(r"^(?:[a-zæœøıłđðþß]+|[а-яёіїєґўђћљњџјѓќѕ]+|[α-ω]+)$")
 _ROUGH = re.compile(r"[bcdfghjkmnpqstvwxzđðþßбвгґджзйкмнпстфхцчшщђћџјѓќѕβγδζθκμνξπσςτφχψ]{4}|^[lrлрλρ]?[bcdfghjkmnpqstvwxzбвгджзкмнпстфхцчшщβγδζθκμνξπσςτφχψ]+[lrлрλρ]?$|^[b-df-hj-np-tv-xzб-гджзк-нпр-тф-щβ-δζθκ-νξπρ-τφ-ψ]{6}|[aeiouyæœøıаеёиоуыэюяіїєαεηιουω]{4}")
 _PARAGRAPH = re.compile(r"\n\s*\n")
-_PIECE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])|\n+")
+_PIECE = re.compile(r"[.!?]\s+|[。！？\n]")
 
 
 def _wide(c: str) -> bool:
@@ -74,6 +79,22 @@ def _plain_letters(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFD", word) if not unicodedata.combining(c))
 
 
+@lru_cache(maxsize=1 << 16)
+def _traits(word: str) -> tuple[str, int]:
+    """The bare word, and bits: common, of letters only, torn, punctuated inside, a capital inside, of four letters or
+    more of a known script, rough. At most 65,536 words are remembered, whatever the corpus."""
+    b = _bare(word)
+    marks = int(b in COMMON) | (bool(_CAPS.search(word)) << 4)
+    if not b.isalpha():
+        return b, marks | (bool(_TORN.search(word)) << 2) | (bool(_INNER.search(word)) << 3)
+    marks |= 2
+    if len(b) >= 4:
+        letters = b if b.isascii() else _plain_letters(b)
+        if _KNOWN.match(letters):
+            marks |= 32 | (bool(_ROUGH.search(letters)) << 6)
+    return b, marks
+
+
 def _wrapped(text: str) -> set[int]:
     """Numbers of the lines (blank ones not counted) that are prose broken into short lines: in their block
     (between blank lines) sentences end in one of ten short lines or more."""
@@ -81,7 +102,7 @@ def _wrapped(text: str) -> set[int]:
     at, block = 0, []
 
     def close() -> None:
-        short = [(i, bool(_STOP.search(x))) for i, x in block if x.count(" ") <= 6]
+        short = [(i, bool(_STOP.search(x) or _FULL_STOP.search(x))) for i, x in block if x.count(" ") <= 6]
         ends = sum(stop for _, stop in short)
         if ends >= 2 and 10 * ends >= len(short):
             out.update(i for i, _ in short)
@@ -149,36 +170,21 @@ def figures(text: str | None) -> dict:
     f["longest_word"] = max(map(len, words))
     for name, k in n.items():
         f[f"{name}_share"] = k / solid
-    f["ended_share"] = sum(x.rstrip()[-1] in END for x in lines) / len(lines)
-    f["stop_share"] = len(_STOP.findall(text)) / n_words
-    # Each different word is looked at once.
+    f["ended_share"] = sum([x.rstrip()[-1] in END for x in lines]) / len(lines)
+    f["stop_share"] = (len(_STOP.findall(text)) + (0 if plain else len(_FULL_STOP.findall(text)))) / n_words
+    # Each different word is looked at once, and those of earlier texts are remembered.
     times = Counter(words)
-    stripped = {w: _bare(w) for w in times}
-    known = {w: b in COMMON for w, b in stripped.items()}
-    bare = [b for b in map(stripped.__getitem__, words) if b]
-    f["common_share"] = sum(map(known.__getitem__, words)) / max(1, len(bare))
-    torn = inner = caps = wordlike = letters = rough = 0
+    stripped, known, tally = {}, {}, [0] * 128
     for w, k in times.items():
-        b = stripped[w]
-        if b.isalpha():
-            wordlike += k
-            if len(b) >= 4:
-                b = b if b.isascii() else _plain_letters(b)
-                if _KNOWN.match(b):
-                    letters += k
-                    if _ROUGH.search(b):
-                        rough += k
-            if not w.islower() and _CAPS.search(w):
-                caps += k
-        else:
-            if _TORN.search(w):
-                torn += k
-            if _INNER.search(w):
-                inner += k
-            if _CAPS.search(w):
-                caps += k
-    f["wordlike_share"], f["torn_share"], f["inner_share"], f["caps_share"] = wordlike / n_words, torn / n_words, inner / n_words, caps / n_words
-    f["rough_share"] = rough / max(1, letters)
+        stripped[w], marks = _traits(w)
+        known[w] = marks & 1
+        tally[marks] += k
+    met = [(marks, k) for marks, k in enumerate(tally) if k]
+    having = [sum([k for marks, k in met if marks >> bit & 1]) for bit in range(7)]
+    bare = [b for b in map(stripped.__getitem__, words) if b]
+    f["common_share"] = having[0] / max(1, len(bare))
+    f["wordlike_share"], f["torn_share"], f["inner_share"], f["caps_share"] = (having[bit] / n_words for bit in (1, 2, 3, 4))
+    f["rough_share"] = having[6] / max(1, having[5])
     f["n_distinct"] = len(set(bare))
     f["distinct_share"] = f["n_distinct"] / max(1, len(bare))
     pieces = Counter(x for x in map(str.strip, _PIECE.split(text)) if x)
@@ -191,9 +197,9 @@ def figures(text: str | None) -> dict:
     pairs = list(zip(bare, bare[1:]))
     for m, grams in ((2, Counter(pairs)), (4, Counter(zip(pairs, pairs[2:])))):
         often = [(k, gram) for gram, k in grams.items() if k > 1]
-        f[f"top_{m}gram"] = max((k * (len(g[0]) + len(g[1]) if m == 2 else sum(map(len, g[0] + g[1]))) for k, g in often), default=0) / solid
+        f[f"top_{m}gram"] = max([k * (len(g[0]) + len(g[1]) if m == 2 else sum(map(len, g[0] + g[1]))) for k, g in often], default=0) / solid
     # A bullet glued to a word makes another word of it.
-    common = lambda ws: sum(known[w] if w in known else _bare(w) in COMMON for w in ws)
+    common = lambda ws: sum(_traits(w)[1] & 1 for w in ws)
     rows = items = marks = sentences = 0
     flat_words = flat_common = 0
     wrapped = _wrapped(text)
