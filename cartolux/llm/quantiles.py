@@ -22,11 +22,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import Stage, salted_join
+from ..runtime import Stage, fits_broadcast, salted_join
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 MANTISSA = 10
 DIGIT = 16
+#: Wanted digits that are broadcast, by their counted number.
+FEW = 100_000
 
 
 def order_key(x: Column) -> Column:
@@ -74,20 +76,21 @@ def select(values: DataFrame, keys: list[str], quantiles: tuple[float, ...] = QU
         if shift == 0:
             break
         followed = at.select(*[F.col(k).alias(f"__r_{k}") for k in keys], F.col("prefix").alias("__r_prefix")).distinct()
-        # One row per group and wanted rank: broadcast while known to be small, salted copies beyond.
+        # One row per group and wanted rank: broadcast up to a counted number of rows, salted copies beyond.
         followed = stage.write(followed, "followed")
         under = left.withColumn("prefix", F.shiftright("u", shift))
         # The key of the join is hashed with its nulls, then compared null-safe.
-        both = salted_join(
-            under.withColumn("__hash", F.xxhash64(*keys, "prefix")), followed.withColumn("__hash", F.xxhash64(*[f"__r_{k}" for k in keys], "__r_prefix")), ["__hash"], [F.col("u")]
-        ).filter(_same([*keys, "prefix"]))
+        under = under.withColumn("__hash", F.xxhash64(*keys, "prefix"))
+        wide = followed.withColumn("__hash", F.xxhash64(*[f"__r_{k}" for k in keys], "__r_prefix"))
+        both = under.join(F.broadcast(wide), "__hash") if fits_broadcast(followed, FEW) else salted_join(under, wide, ["__hash"], [F.col("u")])
+        both = both.filter(_same([*keys, "prefix"]))
         old, left = left, stage.write(both.select(*keys, "u"), "keys")
         stage.drop(old)
         shift -= DIGIT
         hist = left.groupBy(*keys, F.shiftright("u", shift + DIGIT).alias("prefix"), F.shiftright("u", shift).alias("digit")).agg(F.count("*").alias("n"))
         wanted = at.groupBy(*keys, "total", "prefix").agg(F.collect_list(F.struct("q", F.col("left").alias("rank"))).alias("wanted"))
         wanted = wanted.select("total", "wanted", *[F.col(k).alias(f"__r_{k}") for k in [*keys, "prefix"]])
-        at = _found(hist.join(wanted, _same([*keys, "prefix"])), [*keys, "prefix"], F.col("wanted")).select(
+        at = _found(hist.join(wanted.hint("merge"), _same([*keys, "prefix"])), [*keys, "prefix"], F.col("wanted")).select(
             *keys, "total", F.col("t.q").alias("q"), F.col("digit").alias("prefix"), "left"
         )
     return at.select(*keys, F.col("total").alias("n"), "q", from_key(F.col("prefix")).alias("value"))
