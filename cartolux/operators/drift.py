@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..runtime import salted_join
 from ..schemas import FORMATS, MINUS, PLUS, spellings
 
+HEAD, TYPES = -1, -2
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
@@ -52,11 +53,12 @@ def file_schemas(files: DataFrame, lines: DataFrame) -> DataFrame:
     text_at = F.filter(
         F.transform(cells, lambda v, i: F.when(~_missing(v) & ~F.trim(v).rlike(NUMBER), i)), lambda i: i.isNotNull()
     )
-    # Places of text are numbers, so they are combined by hash; headers are two short lines a file.
-    places = lines.filter(~line.startswith("#")).select("file_id", F.explode(text_at).alias("at")).distinct().groupBy("file_id").agg(F.collect_set("at").alias("text_at"))
-    stated = lambda tag: F.min(F.when(line.rlike(f"^#{tag}[ \t]"), F.struct("line_no", _cells(F.substring("line", 4, 1 << 30)).alias("cells"))))["cells"]
-    heads = lines.filter(line.rlike("^#[hf][ \t]")).groupBy("file_id").agg(stated("h").alias("header"), stated("f").alias("declared")).filter("header IS NOT NULL")
-    per_file = heads.join(places, "file_id", "left").withColumn("text_at", F.coalesce("text_at", F.array().cast("array<int>")))
+    at = F.when(line.rlike("^#h[ \t]"), F.array(F.lit(HEAD))).when(line.rlike("^#f[ \t]"), F.array(F.lit(TYPES))).when(~line.startswith("#"), text_at)
+    # One scan; header lines are part of the key, so all is combined by hash before the shuffle.
+    seen = lines.select("file_id", "line_no", "line", F.explode(at).alias("at")).withColumn("stated", F.when(F.col("at") < 0, F.col("line")))
+    seen = seen.groupBy("file_id", "at", "stated").agg(F.min("line_no").alias("line_no"))
+    first = lambda tag: _cells(F.substring(F.min(F.when(F.col("at") == tag, F.struct("line_no", "stated")))["stated"], 4, 1 << 30))
+    per_file = seen.groupBy("file_id").agg(first(HEAD).alias("header"), first(TYPES).alias("declared"), F.collect_set(F.when(F.col("at") >= 0, F.col("at"))).alias("text_at"))
     listed = files.filter(F.col("file_id").isNotNull()).groupBy("file_id").agg(F.min(F.struct("made_at", "stream", "kind")).alias("f"))
     known = {kind: _literal_map(spellings(kind)) for kind in FORMATS}
     kind = F.upper(F.coalesce("kind", F.when(F.exists("header", lambda h: F.lower(h) == "xmapentryid"), "XMAP").otherwise("CMAP")))
@@ -78,7 +80,7 @@ def file_schemas(files: DataFrame, lines: DataFrame) -> DataFrame:
     marks = F.array_sort(F.transform("fields", lambda x: F.concat_ws("\x1f", x["field"], x["header"], F.coalesce(x["type"], F.lit("?")))))
     return (
         listed.select("file_id", "f.*")
-        .join(per_file, "file_id")
+        .join(per_file.filter("header IS NOT NULL"), "file_id")
         .withColumn("kind", kind)
         .withColumn("fields", named)
         .withColumn("fields", once)
