@@ -332,7 +332,7 @@ def u2_distinct_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql("hits", "SELECT qry_id FROM hits WHERE channel = 1 INTERSECT SELECT qry_id FROM hits WHERE channel = 2"))
 def u4_common_ids(spark: SparkSession, d: str) -> DataFrame:
-    """Queries hit in two channels."""
+    """Queries hit in two channels (U4)."""
     h = I.hits(spark, d)
     return h.filter("channel = 1").select("qry_id").intersect(h.filter("channel = 2").select("qry_id"))
 

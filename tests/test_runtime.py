@@ -41,3 +41,22 @@ def test_salted_join_gives_the_plain_join(spark):
             assert sorted(map(str, salted_join(big, small, ["k"], [F.col("v")], how).select("k", "v", "w").collect())) == want
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert fits_broadcast(small, 3) and not fits_broadcast(small, 2)
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+
+    from cartolux.runtime import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
