@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from cartolux.functions import aligner as A
 from cartolux.operators import align
 
 TRUE = np.cumsum(np.random.default_rng(4).integers(2000, 20000, 70)).astype(float)
@@ -52,3 +53,40 @@ def test_filled_maps_carry_the_shifts_of_all_gaps_before(spark):
     fillers = spark.createDataFrame([(1, 20, 100, 7, 6, 1.0, 30.0, [60]), (1, 110, 300, 8, 6, 1.0, -20.4, [150, 200])], "map_id long, lo long, hi long, small_id long, n_pairs int, score double, shift double, inner array<long>")
     got = [(r.site_id, r.pos, r.small_id) for r in align.filled_maps(labels, fillers).orderBy("site_id").collect()]
     assert got == list(zip(range(1, 10), (10, 20, 60, 130, 140, 180, 230, 310, 320), (None, None, 7, None, None, 8, 8, None, None)))
+
+
+def _generated(seed, smalls):
+    rng = np.random.default_rng(seed)
+    maps = [np.cumsum(rng.integers(3, 200, n) * 10).astype(float) for n in rng.integers(1, 60, smalls)]
+    hosts = []
+    for n in rng.integers(10, 50, 6):
+        d, gap = rng.integers(3, 200, n) * 10, int(rng.integers(3, n - 3))
+        d[gap] = rng.integers(600, 3000) * 10
+        hosts.append((np.cumsum(d).astype(float), gap))
+    return maps, hosts
+
+
+def test_scores_over_a_gap_are_those_of_the_aligner():
+    maps, hosts = _generated(3, 40)
+    sides = A.Block(maps), A.Block([A.reversed_positions(p) for p in maps])
+    for host, gap in hosts:
+        assert A.gap_scores(host, gap, *sides).tolist() == [A.align_both(p, host, gap=gap).score for p in maps]
+
+
+def test_fillers_are_the_best_of_all_small_maps_and_few_are_traced(spark, monkeypatch):
+    maps, hosts = _generated(5, 60)
+    maps += maps[:20]  # ties go to the smaller id
+    gaps = [(1000 + i, int(h[g - 1]), int(h[g]), h, g) for i, (h, g) in enumerate(hosts)]
+    want = []
+    for host, lo, hi, h, gap in gaps:
+        every = [(a.score, int(p[0] - p[-1]), -i, len(a.pairs)) for i, p in enumerate(maps) if p[-1] - p[0] >= 0.6 * (hi - lo) - 1e-3 and (a := A.fills(p, h, gap))]
+        want += [(host, lo, hi, -max(every)[2], max(every)[3], max(every)[0])] if every else []
+    contexts = spark.createDataFrame([(host, lo, hi, _long(h)) for host, lo, hi, h, _ in gaps], "map_id long, lo long, hi long, context array<long>")
+    smalls = spark.createDataFrame([(i, _long(p)) for i, p in enumerate(maps)], "map_id long, positions array<long>")
+    got = align.gap_fillers(contexts, smalls).orderBy("map_id").collect()
+    assert want and [(r.map_id, r.lo, r.hi, r.small_id, r.n_pairs, r.score) for r in got] == want
+
+    traced, fills = [], A.fills
+    monkeypatch.setattr(A, "fills", lambda *x: traced.append(1) or fills(*x))
+    align._filled(contexts.toPandas(), smalls.withColumnRenamed("map_id", "small_id").toPandas())
+    assert 0 < len(traced) < len(maps)
