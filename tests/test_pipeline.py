@@ -3,6 +3,8 @@ import random
 from cartolux import __main__ as cli
 from cartolux.functions import scalars
 from cartolux.functions.sequence import ENZYMES
+from cartolux.operators import align as A
+from cartolux.operators import graph as G
 from cartolux.plans import pipeline
 from cartolux.sources import text as R
 from pyspark.sql import functions as F
@@ -63,6 +65,29 @@ def test_merged_sets_keep_what_does_not_align(spark):
     assert (1, pos[10] + 200) in at and (2, pos[10] + 200) in at
 
 
+def test_merged_sets_trace_the_forest_only_and_are_those_of_all_pairs(spark, monkeypatch):
+    rng = random.Random(3)
+    sets = []
+    for ids in (range(1, 13), range(9, 21)):  # four ids are in both sets
+        rows = []
+        for i in ids:
+            pos = 0
+            for _ in range(30):
+                pos += rng.randrange(10, 60) * 1000
+                rows.append((i, 1, pos))
+        sets.append(spark.createDataFrame(rows, "map_id long, channel int, pos long"))
+    p1, p2 = (A.packed(x) for x in sets)
+    every = A.aligned(p1, p2).cache()
+    lengths = sets[0].unionByName(sets[1]).groupBy(F.col("map_id").alias("node")).agg(F.max("pos").alias("len"))
+    want = {tuple(r) for r in A.merged_labels(G.layout(pipeline.edges_of(every, p1, p2), lengths), sets[0].unionByName(sets[1])).select("path_id", "node_id", "channel", "pos").collect()}
+    counts, traced = [], A.traced
+    monkeypatch.setattr(A, "traced", lambda pairs, *x: counts.append(pairs.count()) or traced(pairs, *x))
+    got = pipeline.merged_sets(*sets).select("path_id", "node_id", "channel", "pos")
+    nodes = {n for _, n, _, _ in want}
+    assert len(nodes) > 10 and {tuple(r) for r in got.collect() if r.node_id in nodes} == want
+    assert sum(counts) < 30 < every.count()
+
+
 def test_command_line(spark, tmp_path):
     fa = tmp_path / "a.fa"
     fa.write_text(">x\n" + "A" * 50 + "CACGAG" + "C" * 44 + "\n>y\nACGT\n")
