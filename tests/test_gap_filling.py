@@ -4,6 +4,8 @@ import numpy as np
 
 from cartolux.functions import aligner as A
 from cartolux.operators import align
+from cartolux.plans import align_queries
+from cartolux.plans import inputs as I
 
 TRUE = np.cumsum(np.random.default_rng(4).integers(2000, 20000, 70)).astype(float)
 HIDDEN = range(30, 40)
@@ -90,3 +92,10 @@ def test_fillers_are_the_best_of_all_small_maps_and_few_are_traced(spark, monkey
     monkeypatch.setattr(A, "fills", lambda *x: traced.append(1) or fills(*x))
     align._filled(contexts.toPandas(), smalls.withColumnRenamed("map_id", "small_id").toPandas())
     assert 0 < len(traced) < len(maps)
+
+
+def test_filled_maps_read_the_labels_once(spark, monkeypatch):
+    calls, labels = [], I.labels
+    monkeypatch.setattr(I, "labels", lambda *x: calls.append(1) or labels(*x))
+    align_queries.x14_filled_maps(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
