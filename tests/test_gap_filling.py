@@ -1,9 +1,11 @@
 """Contexts of gaps, small maps tried for them, and the maps filled with them."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cartolux.functions import aligner as A
 from cartolux.operators import align
+from cartolux.operators import maps as M
 from cartolux.plans import align_queries
 from cartolux.plans import inputs as I
 
@@ -99,3 +101,36 @@ def test_filled_maps_read_the_labels_once(spark, monkeypatch):
     monkeypatch.setattr(I, "labels", lambda *x: calls.append(1) or labels(*x))
     align_queries.x14_filled_maps(spark, "/root/testdata/sf0.001")
     assert len(calls) == 1
+
+
+def test_contexts_found_in_arrays_are_those_of_the_gaps(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(12):
+        d = rng.integers(30, 200, int(rng.integers(40, 90)))
+        d[rng.integers(2, len(d) - 2, 3)] = rng.choice([700, 1200, 3000], 3)
+        rows += [(f"S{i % 2}", i // 2, k, 1, int(x)) for k, x in enumerate(np.cumsum(d))]
+    rows += [(s, i, k + 1000, 2, x) for s, i, k, _, x in rows[::7]]  # two labels at one place
+    labels = spark.createDataFrame(rows, "map_set string, map_id long, site_id int, channel int, pos long")
+    mean = spark.createDataFrame([("S0", 100.0), ("S1", 115.5)], "map_set string, mean_distance double")
+    gap, stop = 10 * F.col("mean_distance"), 0.618 * 10 * F.col("mean_distance")
+    gaps = M.internal_gaps(labels, mean, 10, 51).distinct().join(mean, "map_set").withColumn("stop", stop)
+    key = lambda df: sorted((r.map_id, r.lo, r.hi, tuple(r.context)) for r in df.collect())
+    want = key(align.gap_contexts(gaps, labels))
+    assert want and key(align.gaps_in_context(align.map_arrays(labels).join(mean, "map_set"), gap, stop, 51)) == want
+
+
+def test_arrays_of_labels_need_one_shuffle_of_the_labels(spark):
+    d = "/root/testdata/sf0.001"
+    got = align.map_arrays(I.labels(spark, d, align.MAP))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Union")[0].count("Exchange") == 1
+    assert got.select("map_set", "map_id", "n", F.explode("positions").alias("pos")).exceptAll(align.map_arrays(I.labels(spark, d)).select("map_set", "map_id", "n", F.explode("positions").alias("pos"))).count() == 0
+
+
+def test_distances_over_a_gap_take_as_many_passes_as_labels_agree():
+    p = np.cumsum(np.full(400, 10.0))
+    block = A.Block([p, p[:50], p[:1]])
+    got = list(block.over(1000.0))
+    assert len(got) <= 110  # of the 399 labels back, those 60 to 167 back agree
+    assert sorted((int(j), int(b), float(r)) for js, bs, rs in got for j, b, r in zip(js, bs, rs) if 0.6 <= r / 1000 <= 1 / 0.6) == [(j, b, b * 10.0) for j in range(400) for b in range(60, min(j, 166) + 1)]
